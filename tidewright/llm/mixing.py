@@ -42,11 +42,10 @@ def source_rates(docs: DataFrame, weights: DataFrame | None = None, total: float
         w = weights.select(F.col("source").alias("w_source"), F.col("weight").cast("double").alias("weight"))
         weighed = counts.join(w, F.expr("source <=> w_source"), "left").drop("w_source")
         weighed = weighed.withColumn("weight", F.expr("if(weight > 0 and not isnan(weight) and weight < double('infinity'), weight, 0D)"))
-    sums = counts.agg(F.sum("n").alias("all_n")).crossJoin(weighed.agg(F.sum("weight").alias("all_weight")))  # one row each
-    rate = "coalesce({} * weight / nullif(all_weight, 0D) / n, 0D)".format("cast(all_n as double)" if total is None else f"{float(total)!r}D")
+    all_n, all_weight = weighed.agg(F.sum("n"), F.sum("weight")).first()
+    rate = F.lit(float((all_n or 0) if total is None else total)) * F.col("weight") / F.lit(float(all_weight or 0) or 1.0) / F.col("n")
     return (
-        weighed.crossJoin(F.broadcast(sums))
-        .select("source", "n", F.expr(rate).alias("rate"))
+        weighed.select("source", "n", rate.alias("rate"))
         .withColumn("draws", F.expr(f"greatest(1, cast(ceil(rate / {STEP}D) as int))"))
         .withColumn(
             "cdf",

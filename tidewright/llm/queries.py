@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, url_reputation, warc
+from . import bpe, mixing, pii, url_reputation, warc
 from .common import fresh_path
 
 
@@ -67,3 +68,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_warc": op10_warc,
 }
 ORACLES: dict[str, str] = {"op4_mixing": OP4_SQL, "op6_url_reputation": OP6_SQL}
+
+
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = pii.find(docs, pii.fit(docs))
+    count = lambda kind: F.expr(f"cast(size(filter(base, s -> s.kind = {pii.KINDS.index(kind)})) as long)").alias(f"n_{kind}")
+    return found.select("doc_id", *[count(k) for k in pii.BASE], F.sha2(F.expr(pii.spans_text("base")), 256).alias("base_sha256"), F.expr(pii.spans_text("spans")).alias("spans"))
+
+
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+QUERIES |= {"op1_pii": op1_pii, "op7_bpe": op7_bpe}
