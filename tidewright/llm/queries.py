@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, mixing, pii, url_reputation, warc
+from . import bpe, mixing, pii, toxicity, url_reputation, warc
 from .common import fresh_path
 
 
@@ -82,3 +82,13 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES |= {"op1_pii": op1_pii, "op7_bpe": op7_bpe}
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.fit(docs, labels.where(~toxicity.held_out(F.col("doc_id"))))
+    out = toxicity.score(docs, model)
+    return out.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", F.expr("cast(score >= 0.5 as int)").alias("predicted"), F.size("passages").alias("n_passages"))
+
+
+QUERIES["op3_toxicity"] = op3_toxicity
