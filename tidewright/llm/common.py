@@ -89,3 +89,37 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
         old = mark
     nodes = e.select(F.col("u").alias("node"), F.col("v").alias("component"))
     return nodes.union(e.select(F.col("v").alias("node"), F.col("v").alias("component"))).distinct()
+
+
+def release(spark: SparkSession) -> None:
+    """Spark deletes shuffle files of finished jobs once the driver's garbage
+    collection finds them unreachable; ask for it between large steps."""
+    import gc
+
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+def by_key(df: DataFrame, key: str, *order: str) -> DataFrame:
+    """df dealt out by key and sorted by it, for mapInArrow over runs of equal
+    keys: sorting spills, and a task holds a few Arrow batches at a time. For
+    keys whose groups are known to be small; frequent ones go another way."""
+    return df.repartition(key).sortWithinPartitions(key, *order)
+
+
+def key_runs(batches, key: int = 0):
+    """Regroup sorted Arrow batches so that no key is split between two tables."""
+    import numpy as np
+    import pyarrow as pa
+
+    rest = None
+    for b in batches:
+        t = pa.Table.from_batches([b])
+        rest = t if rest is None else pa.concat_tables([rest, t])
+        k = rest.column(key).to_numpy()
+        cut = int(np.searchsorted(k, k[-1], "left")) if len(k) else 0
+        if cut:
+            yield rest.slice(0, cut).combine_chunks()
+            rest = rest.slice(cut)
+    if rest is not None and rest.num_rows:
+        yield rest.combine_chunks()

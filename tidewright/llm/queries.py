@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, mixing, pii, toxicity, url_reputation, warc
+from . import bpe, mixing, pii, substring, toxicity, url_reputation, warc
 from .common import fresh_path
 
 
@@ -92,3 +92,24 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op3_toxicity"] = op3_toxicity
+
+
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substring.dedup_substrings(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+OP8_SQL = r"""
+with w as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') ws from documents),
+  g as (select doc_id, i, array_to_string(ws[i:i + 12], ' ') win from w, lateral (select unnest(generate_series(1, len(ws) - 12)) i)),
+  m as (select win, min(doc_id) least from g group by win),
+  x as (select distinct g.doc_id, g.i + o.o p from g join m on g.win = m.win and g.doc_id > m.least, generate_series(0, 12) o(o)),
+  t as (select w.doc_id, p, word from w, lateral (select unnest(generate_series(1, len(ws))) p, unnest(ws) word)),
+  k as (select t.doc_id, count(x.p) n_removed, string_agg(case when x.p is null then t.word end, ' ' order by t.p) kept
+        from t left join x on t.doc_id = x.doc_id and t.p = x.p group by t.doc_id)
+select w.doc_id, len(ws) as n_words, coalesce(k.n_removed, 0) as n_removed, sha256(coalesce(k.kept, '')) as kept_sha256
+from w left join k on w.doc_id = k.doc_id
+"""
+
+QUERIES["op8_substring_dedup"] = op8_substring_dedup
+ORACLES["op8_substring_dedup"] = OP8_SQL
