@@ -121,7 +121,8 @@ def fit(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS) -> Mod
         return plain
     share = min(1.0, train_docs / n)
     y = y.where(F.pmod(F.xxhash64(F.col("l_id"), F.lit(17)), F.lit(1 << 30)) < int(share * (1 << 30)))
-    train = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(y, F.expr("doc_id = l_id")).select("text", "y")
+    # about train_docs rows of two numbers whatever the size of labels, so they may be broadcast: texts are not shuffled
+    train = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(y), F.expr("doc_id = l_id")).select("text", "y")
     tokens = train.mapInArrow(_counts, "w string, t long, c long").groupBy("w").agg(F.sum("t").alias("t"), F.sum("c").alias("c"))
     tokens = stored(tokens, "tokens")
     n_t, n_c = next(((float(r.t), float(r.c)) for r in tokens.where("w = ''").collect()), (0.0, 0.0))
