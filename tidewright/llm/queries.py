@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, mixing, pii, substring, toxicity, url_reputation, warc
+from . import bpe, jaccard, mixing, pii, substring, toxicity, url_reputation, warc
 from .common import fresh_path
 
 
@@ -113,3 +113,10 @@ from w left join k on w.doc_id = k.doc_id
 
 QUERIES["op8_substring_dedup"] = op8_substring_dedup
 ORACLES["op8_substring_dedup"] = OP8_SQL
+
+
+def op9_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
+
+
+QUERIES["op9_jaccard"] = op9_jaccard
