@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, jaccard, mixing, pii, substring, toxicity, url_reputation, warc
+from . import bpe, jaccard, mixing, pii, substring, topk, toxicity, url_reputation, vector_dedup, warc
 from .common import fresh_path
 
 
@@ -120,3 +120,46 @@ def op9_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op9_jaccard"] = op9_jaccard
+
+
+def op2_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return topk.top_k(vectors, vectors.where("vec_id % 20 = 0"))
+
+
+OP2_SQL = """
+with v as (select vec_id, list_transform(embedding, lambda x: floor(64 * x::double)) e from embeddings
+           where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+  s as (select q.vec_id query_id, x.vec_id, list_dot_product(q.e, x.e)::bigint score from v q join v x on q.vec_id % 20 = 0 and q.vec_id <> x.vec_id),
+  r as (select *, row_number() over (partition by query_id order by score desc, vec_id)::int as rank from s)
+select query_id, rank, vec_id, score from r where rank <= 20
+"""
+
+
+def op5_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+OP5_SQL = """
+with recursive v as (select vec_id, embedding::double[] e, label from embeddings where label is not null and embedding is not null
+           and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0 and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+  l as (select a.vec_id a, b.vec_id b from v a join v b on a.label = b.label and a.vec_id <> b.vec_id where list_cosine_similarity(a.e, b.e) >= 0.98),
+  reach(id, to_id) as (select vec_id, vec_id from embeddings union select reach.id, l.b from reach join l on reach.to_id = l.a),
+  c as (select id, min(to_id) component_id from reach group by id),
+  n as (select a, count(*) n from l group by a)
+select c.id as vec_id, coalesce(n.n, 0) as n_links, component_id, c.id = component_id as kept from c left join n on c.id = n.a
+"""
+
+OP9_SQL = r"""
+with recursive w as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') ws from documents),
+  s as (select distinct doc_id, array_to_string(ws[i:i + 4], ' ') sh from w, lateral (select unnest(generate_series(1, greatest(len(ws) - 4, 1))) i) where len(ws) > 0),
+  n as (select doc_id, count(*) n from s group by doc_id),
+  p as (select a.doc_id a, b.doc_id b, count(*) i from s a join s b on a.sh = b.sh and a.doc_id <> b.doc_id group by 1, 2),
+  l as (select a, b from p join n x on a = x.doc_id join n y on b = y.doc_id where 100 * i >= 75 * (x.n + y.n - i)),
+  reach(id, to_id) as (select doc_id, doc_id from documents union select reach.id, l.b from reach join l on reach.to_id = l.a),
+  c as (select id, min(to_id) component_id from reach group by id)
+select c.id as doc_id, coalesce(n.n, 0) as n_shingles, component_id from c left join n on c.id = n.doc_id
+"""
+
+QUERIES |= {"op2_topk": op2_topk, "op5_vector_dedup": op5_vector_dedup}
+ORACLES |= {"op2_topk": OP2_SQL, "op5_vector_dedup": OP5_SQL, "op9_jaccard": OP9_SQL}
