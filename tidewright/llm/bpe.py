@@ -20,8 +20,9 @@ from __future__ import annotations
 
 import base64
 import hashlib
+from array import array
 from collections.abc import Iterator
-from itertools import chain
+from itertools import accumulate, chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -188,21 +189,30 @@ def decode(tokens: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     return tokens.select(F.col("doc_id").cast("long").alias("doc_id"), "ids").mapInArrow(run, "doc_id long, decoded binary")
 
 
-def round_trip(docs: DataFrame, ranks_path: str, pattern: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def round_trip(docs: DataFrame, ranks_path: str, pattern: str, doc_id: str = "doc_id", text: str = "text", with_ids: bool = False) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256): each text encoded, its
-    ids decoded, and both digested, in one pass."""
+    ids decoded, and both digested, in one pass; with_ids: the ids too."""
     sent = _sent(docs, ranks_path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(sent.value, pattern)
         sha = lambda data: hashlib.sha256(data).hexdigest()
         for b in batches:
-            n, digests, decoded = [], [], []
+            n, digests, decoded, lists = [], [], [], []
             for t in b.column(1):
                 ids = codec.encode(t.as_py() or "")
                 n.append(len(ids))
                 digests.append(sha(",".join(map(str, ids)).encode()))
                 decoded.append(sha(codec.decode(ids)))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(digests, pa.string()), pa.array(decoded, pa.string())], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-
-    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+                if with_ids:
+                    lists.append(array("i", ids))
+            columns = [b.column(0), pa.array(n, pa.int64()), pa.array(digests, pa.string()), pa.array(decoded, pa.string())]
+            if with_ids:
+                flat = array("i")
+                for x in lists:
+                    flat.extend(x)
+                offsets = pa.array([0, *accumulate(n)], pa.int32())
+                columns.append(pa.ListArray.from_arrays(offsets, pa.Array.from_buffers(pa.int32(), len(flat), [None, pa.py_buffer(flat)])))
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "ids"][: len(columns)])
+
+    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids)

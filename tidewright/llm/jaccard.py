@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_key, connected_components, key_runs, release, stored
+from .common import by_key, connected_components, key_runs, release, small, stored
 from .hashing import mix, slices, text_column, windows, word_hashes
 
 #: Words of a shingle; a pair links when 100 * intersection >= LEAST * union.
@@ -151,6 +151,20 @@ def _distances(pairs: DataFrame, docs: DataFrame, classes: DataFrame, k: int) ->
     return out
 
 
+def keep_one(docs: DataFrame, k: int = WORDS, least: int = LEAST, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of docs, with all their columns, whose id is the smallest of its
+    component; of rows that share an id one stays. Rows with a null id stay."""
+    found = jaccard_components(docs, k, least, doc_id, text)
+    gone = stored(found.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct(), "removed")
+    out = docs.join(small(gone, gone.count()), F.col(f"`{doc_id}`") == F.col("_gone"), "left_anti")
+    repeated = docs.groupBy(F.col(f"`{doc_id}`").alias("_id")).count().where("count > 1 and _id is not null").select("_id")
+    if repeated.head(1):  # ids that repeat are taken apart, so that only their texts are shuffled
+        again = stored(repeated, "repeated_ids")
+        single = out.join(again, F.col(f"`{doc_id}`") == F.col("_id"), "left_anti")
+        out = single.union(out.join(again, F.col(f"`{doc_id}`") == F.col("_id"), "left_semi").dropDuplicates([doc_id]))
+    return out
+
+
 def jaccard_components(docs: DataFrame, k: int = WORDS, least: int = LEAST, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id) for each row of docs. Words are runs
     other than space and 0x09 to 0x0D, with A to Z in lower case. Two documents

@@ -222,6 +222,18 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, score double, passages array<struct<first: int, last: int, evidence: double>>")
 
 
+def keep_clean(docs: DataFrame, model: Model, least: float = 0.5, text: str = "text") -> DataFrame:
+    """The rows of docs, with all their columns, that score below `least`."""
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield b.filter(pa.array([sent.value.score(t.as_py() or "") < least for t in b.column(at)], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def held_out(doc_id: Column) -> Column:
     """Whether crc32 of the id as text leaves 0 on division by 5; a null id is not held out."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
