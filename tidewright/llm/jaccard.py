@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_key, connected_components, key_runs, release, small, stored
+from .common import by_key, connected_components, drop_stored, key_runs, release, small, stored
 from .hashing import mix, slices, text_column, windows, word_hashes
 
 #: Words of a shingle; a pair links when 100 * intersection >= LEAST * union.
@@ -125,7 +125,8 @@ def _sets(k: int):
 
 
 def _regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of (w, node, n) sorted by w and node: members of regions of two sets or more, once each."""
+    """Of (w, node, n) sorted by w and node: members of regions of two sets or
+    more, once each, with the size of the region and its pivot, the smallest set hash."""
     for t in key_runs(batches):
         w, node, n = (t.column(i).to_numpy() for i in range(3))
         new = np.ones(len(w), bool)
@@ -133,20 +134,22 @@ def _regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w, node, n = w[new], node[new], n[new]
         first = np.flatnonzero(np.append(True, w[1:] != w[:-1]))
         size = np.diff(np.append(first, len(w)))
-        many = np.repeat(size > 1, size)
-        yield pa.RecordBatch.from_arrays([pa.array(x[many]) for x in (w, node, n)], names=["w", "node", "n"])
+        pivot, size = np.repeat(first, size), np.repeat(size, size)
+        many = size > 1
+        yield pa.RecordBatch.from_arrays([pa.array(x[many]) for x in (w, node, n, size, node[pivot], n[pivot])], names=["w", "node", "n", "size", "pivot", "pivot_n"])
 
 
 def _distances(pairs: DataFrame, docs: DataFrame, classes: DataFrame, k: int) -> DataFrame:
     """(a, b, both, na, nb): exact intersection of each pair of set hashes. Only
     the texts of sets that occur in pairs are read into sets again, one for each."""
     ends = pairs.select(F.col("a").alias("e")).union(pairs.select(F.col("b").alias("e"))).distinct()
-    texts = classes.join(ends, F.expr("node = e")).select(F.col("rep").alias("rep_id"), F.col("node").alias("rep_node"))
-    found = docs.join(texts, F.expr("doc_id = rep_id")).select("rep_node", "text").dropDuplicates(["rep_node"]).mapInArrow(_sets(k), "node long, members array<long>")
-    sets = stored(found, "sets")
+    texts = stored(classes.join(ends, F.expr("node = e")).select(F.col("rep").alias("rep_id"), F.col("node").alias("rep_node")), "ends")
+    found = docs.join(small(texts, texts.count()), F.expr("doc_id = rep_id")).select("rep_node", "text")
+    sets = found.mapInArrow(_sets(k), "node long, members array<long>").dropDuplicates(["node"])
     left = pairs.join(sets.select(F.col("node").alias("a"), F.col("members").alias("ma")), "a")
     both = left.join(sets.select(F.col("node").alias("b"), F.col("members").alias("mb")), "b")
     out = stored(both.select("a", "b", F.size(F.array_intersect("ma", "mb")).alias("both"), F.size("ma").alias("na"), F.size("mb").alias("nb")), "distances")
+    drop_stored(texts)
     release(docs.sparkSession)
     return out
 
@@ -187,37 +190,20 @@ def jaccard_components(docs: DataFrame, k: int = WORDS, least: int = LEAST, doc_
     classes = stored(with_id.groupBy("node").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")), "classes")
 
     # outer regions: rare shingles by runs of equal keys, frequent ones by aggregation and join
-    rare = by_key(with_id.select(F.explode("rare").alias("w"), "node", "n"), "w", "node").mapInArrow(_regions, "w long, node long, n int")
+    rare = by_key(with_id.select(F.explode("rare").alias("w"), "node", "n"), "w", "node").mapInArrow(_regions, "w long, node long, n int, size long, pivot long, pivot_n int")
     common = with_id.select(F.explode("common").alias("w"), "node", "n").distinct()
-    shared = common.groupBy(F.col("w").alias("sw")).agg(F.min("node").alias("least"), F.max("node").alias("most")).where("least < most").select("sw")
+    shared = common.groupBy(F.col("w").alias("sw")).agg(F.count("*").alias("size"), F.min(F.struct("node", "n")).alias("p")).where("size > 1").select("sw", "size", F.col("p.node").alias("pivot"), F.col("p.n").alias("pivot_n"))
     region = stored(rare.unionByName(common.join(shared, F.expr("w = sw")).drop("sw")), "regions")
     release(spark)
 
     texts = d.where("doc_id is not null")
+    fits = lambda x, y: F.expr(f"100 * least({x}, {y}) >= {least} * greatest({x}, {y})")  # noqa: E731  sets of other sizes cannot link
     links: DataFrame | None = None
     comps: DataFrame | None = None  # (node, component) of sets that are linked so far
     known: DataFrame | None = None  # (a, b): pairs that were tested
-    done: DataFrame | None = None  # (w, upto): pivots of a region, whose pairs have all been tested
+    pairs = region.where(F.expr("node <> pivot") & fits("n", "pivot_n")).select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
+    rest = region.where("size > 2 and node <> pivot").select("w", "node", "n")  # a pivot has now met all of its region
     while True:
-        member = region
-        if done is not None:
-            member = member.join(done.withColumnRenamed("w", "dw"), F.expr("w = dw"), "left").where("upto is null or node > upto").drop("dw", "upto")
-        if comps is None:
-            member = member.withColumn("comp", F.col("node"))
-        else:
-            member = member.join(comps.withColumnRenamed("node", "c_node"), F.expr("node = c_node"), "left").select("w", "node", "n", F.coalesce("component", "node").alias("comp"))
-        # regions that hold sets of two components; the pivot of the first round is the smallest hash, later rounds take more at once
-        first = comps is None
-        upto = "min(node)" if first else f"if(count(*) <= {PIVOTS}, max(node), percentile_approx(node, 0.25, 1000))"
-        open_ = member.groupBy(F.col("w").alias("ow")).agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.expr(upto).alias("upto")).where("c0 < c1").drop("c0", "c1")
-        placed = member.join(open_, F.expr("w = ow")).select("w", "node", "n", "comp", "upto")
-        if not first:
-            placed = stored(placed, "open")
-            if not placed.head(1):
-                break
-        pivots = placed.where("node <= upto").select(F.col("w").alias("pw"), F.col("node").alias("a"), F.col("n").alias("na"), F.col("comp").alias("ca"))
-        near = F.expr(f"w = pw and node > a and comp <> ca and 100 * least(n, na) >= {least} * greatest(n, na)")
-        pairs = placed.join(pivots, near).select("a", F.col("node").alias("b")).distinct()
         pairs = stored(pairs if known is None else pairs.join(known, ["a", "b"], "left_anti"), "pairs")
         known = pairs if known is None else known.union(pairs)
         if pairs.head(1):
@@ -225,11 +211,21 @@ def jaccard_components(docs: DataFrame, k: int = WORDS, least: int = LEAST, doc_
             linked = tested.where(f"100 * both >= {least} * (na + nb - both)").select("a", "b")
             links = stored(linked if links is None else links.union(linked), "links")
             comps = stored(connected_components(links), "components")
-        elif comps is None:
-            break
-        now = placed.select("w", "upto").distinct()
-        done = stored(now if done is None else done.join(now.select(F.col("w").alias("nw")), F.expr("w = nw"), "left_anti").union(now), "done")
+        # regions that still hold sets of two components, and their next pivots: all of a small region, a quarter of a large one
+        member = rest.withColumn("comp", F.col("node"))
+        if comps is not None:
+            of = comps.select(F.col("node").alias("c_node"), "component")
+            member = rest.join(small(of, of.count()), F.expr("node = c_node"), "left").select("w", "node", "n", F.coalesce("component", "node").alias("comp"))
+        upto = f"if(count(*) <= {PIVOTS}, max(node), percentile_approx(node, 0.25, 1000))"
+        still = member.groupBy(F.col("w").alias("ow")).agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.expr(upto).alias("upto")).where("c0 < c1").drop("c0", "c1")
+        placed = stored(member.join(still, F.expr("w = ow")).select("w", "node", "n", "comp", "upto"), "open")
         release(spark)
+        if not placed.head(1):
+            break
+        pivots = placed.where("node <= upto").select(F.col("w").alias("pw"), F.col("node").alias("a"), F.col("n").alias("na"), F.col("comp").alias("ca"))
+        near = F.expr("w = pw and node > a and comp <> ca") & fits("n", "na")
+        pairs = placed.join(pivots, near).select("a", F.col("node").alias("b")).distinct()
+        rest = placed.where("node > upto").select("w", "node", "n")
 
     # the smallest document of each component; sets that are alone are not in the table
     label = classes.where("copies > 1").select("node", "rep")
