@@ -76,7 +76,7 @@ def mix_sources(docs: DataFrame, weights: DataFrame | None = None, total: float
     on = F.expr("_source <=> _of")
     if n_sources > 50_000:  # salted: a source's documents are dealt to SALTS keys
         d = d.withColumn("_salt", F.pmod(F.xxhash64("_key"), F.lit(SALTS)))
-        rates = rates.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).cast("long"))
+        rates = rates.withColumn("_part", F.explode(F.expr(f"sequence(0L, {SALTS - 1}L)")))
         on = on & F.expr("_salt = _part")
     joined = d.join(small(rates, n_sources, 50_000), on)
     one = F.expr("size(filter(cdf, c -> c <= _u))")
