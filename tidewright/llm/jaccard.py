@@ -35,6 +35,8 @@ WORDS, LEAST = 5, 75
 SAMPLE_DOCS, FREQUENT = 4096, 3
 #: Members of a region up to which a round takes them all as pivots; of larger regions it takes a quarter.
 PIVOTS = 64
+#: Classes of hashes that a sketch counts (by the top eight bits).
+BUCKETS = 256
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, k: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
@@ -68,7 +70,8 @@ def _lists(values: np.ndarray, counts: np.ndarray) -> pa.Array:
 
 
 def _describe(frequent: np.ndarray, often: np.ndarray, k: int, least: int):
-    """(doc_id, n, node, rare, common): size and hash of each set, and its first
+    """(doc_id, n, node, sketch, rare, common): size and hash of each set, the
+    number of its shingles in each of BUCKETS classes of hashes, and its first
     shingles in the order of regions, those that are frequent in the sample apart."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -91,9 +94,13 @@ def _describe(frequent: np.ndarray, often: np.ndarray, k: int, least: int):
                 w, rank, first = w[order], rank[order], first
                 rare, common = first & (rank == 0), first & (rank > 0)
                 size = lambda m, r=r, rows=b - a: np.bincount(r[m], minlength=rows)
+                counts = np.bincount(r * BUCKETS + (w >> np.uint64(56)).astype(np.int64), minlength=BUCKETS * (b - a))
+                sketch = np.minimum(counts, 255).astype(np.uint8)
+                ends = (np.arange(b - a + 1) * BUCKETS).astype(np.int32)
+                sketches = pa.Array.from_buffers(pa.binary(), b - a, [None, pa.py_buffer(ends), pa.py_buffer(sketch)])
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(a, b - a), pa.array(n, pa.int32()), pa.array(mix(node, 5).view(np.int64)), _lists(w[rare], size(rare)), _lists(w[common], size(common))],
-                    names=["doc_id", "n", "node", "rare", "common"],
+                    [batch.column(0).slice(a, b - a), pa.array(n, pa.int32()), pa.array(mix(node, 5).view(np.int64)), sketches, _lists(w[rare], size(rare)), _lists(w[common], size(common))],
+                    names=["doc_id", "n", "node", "sketch", "rare", "common"],
                 )
 
     return run
@@ -139,11 +146,32 @@ def _regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(x[many]) for x in (w, node, n, size, node[pivot], n[pivot])], names=["w", "node", "n", "size", "pivot", "pivot_n"])
 
 
-def _distances(pairs: DataFrame, docs: DataFrame, classes: DataFrame, k: int) -> DataFrame:
-    """(a, b, both, na, nb): exact intersection of each pair of set hashes. Only
-    the texts of sets that occur in pairs are read into sets again, one for each."""
-    ends = pairs.select(F.col("a").alias("e")).union(pairs.select(F.col("b").alias("e"))).distinct()
-    texts = stored(classes.join(ends, F.expr("node = e")).select(F.col("rep").alias("rep_id"), F.col("node").alias("rep_node")), "ends")
+def _possible(least: int):
+    """Pairs whose sketches do not rule a link out: the counts of two sets differ
+    in sum by no more than the sets do, a metric that bounds theirs from below."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = batch.column(2).to_numpy().astype(np.int64) + batch.column(3).to_numpy()
+            x, y = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(-1, BUCKETS).astype(np.int16) for i in (4, 5))
+            apart = np.abs(x - y).sum(1, dtype=np.int64)
+            shared = -(-least * n // (100 + least))  # the least intersection of sets that link
+            yield pa.RecordBatch.from_arrays([c.filter(pa.array(apart <= n - 2 * shared)) for c in batch.columns[:2]], names=["a", "b"])
+
+    return run
+
+
+def _distances(pairs: DataFrame, docs: DataFrame, described: DataFrame, classes: DataFrame, k: int, least: int) -> DataFrame:
+    """(a, b, both, na, nb): exact intersection of each pair of set hashes that
+    can link. Only the texts of sets in such pairs are read into sets again, one
+    for each."""
+    both_ends = lambda p: p.select(F.col("a").alias("e")).union(p.select(F.col("b").alias("e"))).distinct()
+    reps = classes.join(both_ends(pairs), F.expr("node = e")).select(F.col("rep").alias("s_id"), F.col("node").alias("s_node"))
+    marks = described.join(reps, F.expr("doc_id = s_id")).select("s_node", "n", "sketch").dropDuplicates(["s_node"])
+    marked = pairs.join(marks.select(F.col("s_node").alias("a"), F.col("n").alias("n_a"), F.col("sketch").alias("s_a")), "a").join(marks.select(F.col("s_node").alias("b"), F.col("n").alias("n_b"), F.col("sketch").alias("s_b")), "b")
+    pairs = stored(marked.select("a", "b", "n_a", "n_b", "s_a", "s_b").mapInArrow(_possible(least), "a long, b long"), "possible")
+    release(docs.sparkSession)
+    texts = stored(classes.join(both_ends(pairs), F.expr("node = e")).select(F.col("rep").alias("rep_id"), F.col("node").alias("rep_node")), "ends")
     found = docs.join(small(texts, texts.count()), F.expr("doc_id = rep_id")).select("rep_node", "text")
     sets = found.mapInArrow(_sets(k), "node long, members array<long>").dropDuplicates(["node"])
     left = pairs.join(sets.select(F.col("node").alias("a"), F.col("members").alias("ma")), "a")
@@ -185,7 +213,7 @@ def jaccard_components(docs: DataFrame, k: int = WORDS, least: int = LEAST, doc_
     seen = sample.mapInArrow(_members(k), "w long").groupBy("w").count().where(F.col("count") >= FREQUENT).collect()  # at most the shingles of the sample
     seen = sorted((r["w"] & 0xFFFFFFFFFFFFFFFF, r["count"]) for r in seen)
     frequent, often = np.array([x[0] for x in seen], np.uint64), np.array([x[1] for x in seen], np.int64)
-    described = stored(d.mapInArrow(_describe(frequent, often, k, least), "doc_id long, n int, node long, rare array<long>, common array<long>"), "shingles")
+    described = stored(d.mapInArrow(_describe(frequent, often, k, least), "doc_id long, n int, node long, sketch binary, rare array<long>, common array<long>"), "shingles")
     with_id = described.where("doc_id is not null and n > 0")
     classes = stored(with_id.groupBy("node").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")), "classes")
 
@@ -207,7 +235,7 @@ def jaccard_components(docs: DataFrame, k: int = WORDS, least: int = LEAST, doc_
         pairs = stored(pairs if known is None else pairs.join(known, ["a", "b"], "left_anti"), "pairs")
         known = pairs if known is None else known.union(pairs)
         if pairs.head(1):
-            tested = _distances(pairs, texts, classes, k)
+            tested = _distances(pairs, texts, with_id, classes, k, least)
             linked = tested.where(f"100 * both >= {least} * (na + nb - both)").select("a", "b")
             links = stored(linked if links is None else links.union(linked), "links")
             comps = stored(connected_components(links), "components")
