@@ -2,6 +2,7 @@ import os
 import sys
 
 import pytest
+from helpers import SF
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
@@ -21,9 +22,6 @@ def spark(tmp_path_factory):
     session.stop()
 
 
-SF = "/root/testdata/sf0.001"
-
-
 @pytest.fixture(scope="session")
 def duck():
     import duckdb
@@ -32,20 +30,3 @@ def duck():
     for t in "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split():
         con.execute(f"create view {t} as select * from read_parquet('{SF}/{t}.parquet')")
     return con
-
-
-def same(df, con, sql):
-    """Assert that a DataFrame and SQL give the same rows."""
-
-    def plain(v):
-        if isinstance(v, float):
-            return round(v, 7)
-        return tuple(map(plain, v)) if isinstance(v, (list, tuple)) else v
-
-    cols = sorted(df.columns)
-    got = sorted((tuple(map(plain, r)) for r in df.select(*[f"`{c}`" for c in cols]).collect()), key=repr)
-    r = con.execute(sql)
-    names = [d[0] for d in r.description]
-    assert sorted(names) == cols
-    want = sorted((tuple(plain(x[names.index(c)]) for c in cols) for x in r.fetchall()), key=repr)
-    assert got == want

@@ -1,5 +1,5 @@
 import pytest
-from conftest import SF, same
+from helpers import SF, same
 
 from tidewright.queries import ORACLES, QUERIES
 
