@@ -40,7 +40,7 @@ def _records(pages: DataFrame, min_bytes: int) -> DataFrame:
         .select(F.col("digest").alias("of_digest"), F.col("bytes").alias("of_bytes"), "rep")
     )
     same = stored(same, "payloads")
-    return p.join(small(same, same.count()), F.expr("digest = of_digest and bytes = of_bytes"), "left").withColumn("refers_to", F.expr("if(rep <> page_id, rep, null)"))
+    return p.join(small(same, same.count()), F.expr("digest = of_digest and bytes = of_bytes"), "left").withColumn("refers_to", F.expr("if(not rep <=> page_id, rep, null)"))
 
 
 def write_warc(pages: DataFrame, path: str, min_bytes: int = REVISIT_BYTES, epoch: int = 1704067200) -> None:
