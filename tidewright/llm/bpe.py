@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 #: Characters of a leaf of a text, bytes of a leaf of a piece, tokens of a leaf in decoding.
 TEXT_LEAF, PIECE_LEAF, DECODE_LEAF = 1 << 13, 32, 1 << 14
 #: Encodings that a worker remembers; beyond that it forgets them all and begins anew.
-REMEMBERED = 250_000
+REMEMBERED = 100_000
 #: The characters that \s of the pattern matches.
 SPACE = "\t-\r \x85\xa0  -     　"
 
