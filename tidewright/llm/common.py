@@ -18,8 +18,9 @@ def shared_dir(spark: SparkSession) -> str:
     temporary one where the setting is absent (local sessions)."""
     where = spark.conf.get("spark.checkpoint.dir", None)
     if not where:
-        where = tempfile.mkdtemp(prefix="tidewright-")
-        spark.conf.set("spark.checkpoint.dir", where)
+        context = spark.sparkContext
+        where = getattr(context, "_tidewright_dir", None) or tempfile.mkdtemp(prefix="tidewright-")
+        context._tidewright_dir = where
     return where
 
 
