@@ -35,8 +35,8 @@ WORDS, LEAST = 5, 75
 SAMPLE_DOCS, FREQUENT = 4096, 3
 #: Members of a region up to which a round takes them all as pivots; of larger regions it takes a quarter.
 PIVOTS = 64
-#: Classes of hashes that a sketch counts (by the top eight bits).
-BUCKETS = 256
+#: Least and most bits of a hash by which a sketch counts shingles; between, so many that a class holds two to four.
+BITS = (8, 16)
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, k: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
@@ -71,7 +71,7 @@ def _lists(values: np.ndarray, counts: np.ndarray) -> pa.Array:
 
 def _describe(frequent: np.ndarray, often: np.ndarray, k: int, least: int):
     """(doc_id, n, node, sketch, rare, common): size and hash of each set, the
-    number of its shingles in each of BUCKETS classes of hashes, and its first
+    number of its shingles in each class of hashes (by their top bits), and its first
     shingles in the order of regions, those that are frequent in the sample apart."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -94,9 +94,10 @@ def _describe(frequent: np.ndarray, often: np.ndarray, k: int, least: int):
                 w, rank, first = w[order], rank[order], first
                 rare, common = first & (rank == 0), first & (rank > 0)
                 size = lambda m, r=r, rows=b - a: np.bincount(r[m], minlength=rows)
-                counts = np.bincount(r * BUCKETS + (w >> np.uint64(56)).astype(np.int64), minlength=BUCKETS * (b - a))
+                bits = np.clip(np.floor(np.log2(np.maximum(n, 1))).astype(np.int64) - 1, *BITS)
+                ends = np.concatenate([[0], np.cumsum(1 << bits)]).astype(np.int32)
+                counts = np.bincount(ends[r] + (w >> (64 - bits[r]).astype(np.uint64)).astype(np.int64), minlength=int(ends[-1]))
                 sketch = np.minimum(counts, 255).astype(np.uint8)
-                ends = (np.arange(b - a + 1) * BUCKETS).astype(np.int32)
                 sketches = pa.Array.from_buffers(pa.binary(), b - a, [None, pa.py_buffer(ends), pa.py_buffer(sketch)])
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(a, b - a), pa.array(n, pa.int32()), pa.array(mix(node, 5).view(np.int64)), sketches, _lists(w[rare], size(rare)), _lists(w[common], size(common))],
@@ -146,6 +147,18 @@ def _regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(x[many]) for x in (w, node, n, size, node[pivot], n[pivot])], names=["w", "node", "n", "size", "pivot", "pivot_n"])
 
 
+def _apart(x: bytes, y: bytes) -> int:
+    """Sum of the differences of two sketches; of the finer one neighbours are added up first."""
+    a, b = (np.frombuffer(s, np.uint8).astype(np.int32) for s in (x, y))
+    if len(a) != len(b):
+        # counts stop at 255, so classes that may hold more are left out of account
+        if len(a) < len(b):
+            a, b = b, a
+        full = (a.reshape(len(b), -1) == 255).any(1) | (b == 255)
+        return int(np.abs(np.where(full, 0, a.reshape(len(b), -1).sum(1) - b)).sum())
+    return int(np.abs(a - b).sum())
+
+
 def _possible(least: int):
     """Pairs whose sketches do not rule a link out: the counts of two sets differ
     in sum by no more than the sets do, a metric that bounds theirs from below."""
@@ -153,8 +166,7 @@ def _possible(least: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n = batch.column(2).to_numpy().astype(np.int64) + batch.column(3).to_numpy()
-            x, y = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(-1, BUCKETS).astype(np.int16) for i in (4, 5))
-            apart = np.abs(x - y).sum(1, dtype=np.int64)
+            apart = np.array([_apart(x, y) for x, y in zip(batch.column(4).to_pylist(), batch.column(5).to_pylist(), strict=True)], np.int64)
             shared = -(-least * n // (100 + least))  # the least intersection of sets that link
             yield pa.RecordBatch.from_arrays([c.filter(pa.array(apart <= n - 2 * shared)) for c in batch.columns[:2]], names=["a", "b"])
 
