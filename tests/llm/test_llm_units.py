@@ -294,12 +294,15 @@ def small_corpus(seed, n=60):
 @pytest.mark.parametrize("window", [4, 13])
 def test_substrings_against_brute_force(spark, window):
     texts = small_corpus(window)
-    got = {r.doc_id: (r.n_words, r.n_removed, r.kept) for r in substring.dedup_substrings(docs(spark, texts), window).collect()}
-    assert got == brute_substrings(texts, window)
+    out = substring.dedup_substrings(docs(spark, texts), window, longest=4 * window).collect()
+    assert {r.doc_id: (r.n_words, r.n_removed, r.kept) for r in out} == brute_substrings(texts, window)
+    longest = {d: max([0, *(n for n in (window, 2 * window, 4 * window) if brute_substrings(texts, n)[d][1])]) for d, _ in texts}
+    assert {r.doc_id: r.longest for r in out} == longest and (window != 4 or set(longest.values()) == {0, 4, 8, 16})
 
 
 def test_substrings_without_frequent_windows(spark, monkeypatch):
     monkeypatch.setattr(substring, "FREQUENT", 10**6)
+    monkeypatch.setattr(substring, "RUN", 3)
     texts = small_corpus(21)
     got = {r.doc_id: (r.n_words, r.n_removed, r.kept) for r in substring.dedup_substrings(docs(spark, texts), 5).collect()}
     assert got == brute_substrings(texts, 5)
@@ -310,7 +313,7 @@ def test_jaccard_against_brute_force(spark, monkeypatch):
     from test_llm_queries import components
 
     monkeypatch.setattr(jaccard, "FREQUENT", 4)
-    monkeypatch.setattr(jaccard, "PIVOTS", 6)
+    monkeypatch.setattr(jaccard, "LEAF", 4)
     texts = small_corpus(31, 40)
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.jaccard_components(docs(spark, texts)).collect()}
     want = components({d: t for d, t in texts if d is not None})
@@ -327,6 +330,7 @@ def test_word_hashes_of_slices():
     texts = ["a b", None, " x\ty ", "", "A\x0bb\u00a0c"]
     data, offsets = hashing.text_column(pa.array(texts))
     h, row, start, length = hashing.word_hashes(data, offsets, lower=True)
+    h = h[0]
     assert row.tolist() == [0, 0, 2, 2, 4, 4] and h[0] == h[4] and len(set(h.tolist())) == 5
     w = hashing.windows(h, 2)
     assert len(w) == 5 and len(set(w.tolist())) == 5 and len(hashing.windows(h, 9)) == 0

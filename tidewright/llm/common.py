@@ -3,6 +3,7 @@ tables that cut lineage, checked broadcasts and connected components."""
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -11,19 +12,34 @@ from pyspark.sql import functions as F
 
 #: Rows of a lookup table that may be broadcast (a few MB); larger ones are joined by shuffle.
 BROADCAST_ROWS = 100_000
+#: The same for tables of two or three longs (about 40 MB at most).
+BROADCAST_IDS = 1_000_000
+#: Bytes of an Arrow batch of texts.
+BATCH_BYTES = 4 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a
-    temporary one where the setting is absent (local sessions)."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Only in
+    local mode, where there is one machine, may it be unset; then a temporary one serves."""
     where = spark.conf.get("spark.checkpoint.dir", None)
     if not where:
         context = spark.sparkContext
+        if not re.match(r"local(\[[^,]*\]|\[[^,]*,[^,]*\])?$", context.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         where = getattr(context, "_tidewright_dir", None) or tempfile.mkdtemp(prefix="tidewright-")
         context._tidewright_dir = where
     return where
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Bound the Arrow batches that Python workers get by bytes of text, unless
+    the session has a bound of its own: by default one may take 64 MB, in the
+    JVM, in the worker and in what is made of it."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key) == "67108864b":
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/tidewright/{name}-{uuid.uuid4().hex}"
 
@@ -108,19 +124,43 @@ def by_key(df: DataFrame, key: str, *order: str) -> DataFrame:
     return df.repartition(key).sortWithinPartitions(key, *order)
 
 
-def key_runs(batches, key: int = 0):
-    """Regroup sorted Arrow batches so that no key is split between two tables."""
+def key_runs(batches, most: int = 1 << 62):
+    """Regroup Arrow batches that are sorted by their first column, a long:
+    (table, whole), where no key is split between two tables. A key of more
+    than `most` rows comes alone, in several tables (whole is False), so that
+    what is held stays bounded."""
     import numpy as np
     import pyarrow as pa
 
-    rest = None
+    def out(pieces, whole):
+        return pa.Table.from_batches(pieces).combine_chunks(), whole
+
+    held, rows, long, key = [], 0, False, None
     for b in batches:
-        t = pa.Table.from_batches([b])
-        rest = t if rest is None else pa.concat_tables([rest, t])
-        k = rest.column(key).to_numpy()
-        cut = int(np.searchsorted(k, k[-1], "left")) if len(k) else 0
+        if not b.num_rows:
+            continue
+        k = b.column(0).to_numpy()
+        if held or long:
+            end = int(np.searchsorted(k, key, "right"))  # rows that go on with the last key
+            if end:
+                held.append(b.slice(0, end))
+                rows += end
+            if end == len(k):
+                if rows > most:
+                    yield out(held, False)
+                    held, rows, long = [], 0, True
+                continue
+            if held:
+                yield out(held, not long)
+            held, long = [], False
+            b, k = b.slice(end), k[end:]
+        key = k[-1]
+        cut = int(np.searchsorted(k, key, "left"))
         if cut:
-            yield rest.slice(0, cut).combine_chunks()
-            rest = rest.slice(cut)
-    if rest is not None and rest.num_rows:
-        yield rest.combine_chunks()
+            yield out([b.slice(0, cut)], True)
+        held, rows = [b.slice(cut)], len(k) - cut
+        if rows > most:
+            yield out(held, False)
+            held, rows, long = [], 0, True
+    if held:
+        yield out(held, not long)

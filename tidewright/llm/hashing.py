@@ -1,98 +1,121 @@
-"""Hashes of words and of runs of words, for whole Arrow columns of text at once."""
+"""Hashes of words and of runs of words, for whole Arrow columns of text at once.
+
+Every hash has two lanes of 64 bits. A word is hashed eight bytes at a time by
+a chain of mixing steps, a run of words by a tree of them; no step is linear in
+what went in before, and the lanes use mixers of their own. Equality of both
+lanes stands for equality of the words, at 128 bits; one lane alone only ever
+proposes candidates."""
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 
 #: Bytes of text hashed at once; a longer document is hashed alone.
-SLICE = 1 << 20
-_rng = np.random.default_rng(20240229)
-_BYTE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_P, _Q = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
-_ALL = (1 << 64) - 1
-_SPACE = np.zeros(256, bool)
-_SPACE[[32, 9, 10, 11, 12, 13]] = True
+SLICE = 1 << 18
+#: Words of more bytes are hashed by BLAKE2b, one by one.
+LONG_WORD = 64
+#: Multipliers and shifts of the mixers (fixed values: SplitMix64, MurmurHash3), and of the steps between them.
+_MIX = ((30, 0xBF58476D1CE4E5B9, 27, 0x94D049BB133111EB, 31), (33, 0xFF51AFD7ED558CCD, 33, 0xC4CEB9FE1A85EC53, 33))
+_STEP = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
+_WORD = np.ones(256, bool)
+_WORD[[32, 9, 10, 11, 12, 13]] = False
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-_powers = np.ones(1, np.uint64)
+#: The first n bytes of a little-endian integer.
+_FIRST = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 
 
-def mix(h: np.ndarray, salt: int = 0) -> np.ndarray:
+def mix(h: np.ndarray, salt: int = 0, lane: int = 0) -> np.ndarray:
     """Scramble 64-bit values, one to one."""
-    h = h + np.uint64(salt * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)
-    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return h ^ (h >> np.uint64(31))
-
-
-def _power(n: int) -> np.ndarray:
-    global _powers
-    if len(_powers) < n:
-        _powers = np.concatenate([np.ones(1, np.uint64), np.cumprod(np.full(max(n, 64) * 2, _P, np.uint64))])
-    return _powers
+    a, m, b, n, c = _MIX[lane]
+    h = h + np.uint64((salt + 1) * _STEP[lane] & 0xFFFFFFFFFFFFFFFF)
+    h ^= h >> np.uint64(a)
+    h *= np.uint64(m)
+    h ^= h >> np.uint64(b)
+    h *= np.uint64(n)
+    h ^= h >> np.uint64(c)
+    return h
 
 
 def text_column(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(bytes, offsets) of a string column; nulls have no bytes."""
-    a = column.cast(pa.large_string())
+    """(bytes, offsets) of a string column, without a copy of its bytes; nulls have none."""
+    a = column
     if a.null_count:
         a = a.fill_null("")
-    offsets = np.frombuffer(a.buffers()[1], np.int64)[a.offset : a.offset + len(a) + 1]
+    kind = np.int64 if pa.types.is_large_string(a.type) else np.int32
+    offsets = np.frombuffer(a.buffers()[1], kind)[a.offset : a.offset + len(a) + 1].astype(np.int64)
     data = np.frombuffer(a.buffers()[2], np.uint8) if a.buffers()[2] is not None else np.zeros(0, np.uint8)
     return data, offsets
 
 
-def slices(offsets: np.ndarray) -> Iterator[tuple[int, int]]:
-    """Ranges of rows of about SLICE bytes together."""
+def slices(offsets: np.ndarray, most: int | None = None) -> Iterator[tuple[int, int]]:
+    """Ranges of rows of about `most` (SLICE) bytes together."""
     first = 0
     while first < len(offsets) - 1:
-        last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + SLICE, "right")) - 1)
+        last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + (most or SLICE), "right")) - 1)
         yield first, last
         first = last
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray, lower: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(hash, row, start, length) of every word of the rows that offsets
+def word_hashes(data: np.ndarray, offsets: np.ndarray, lower: bool = False) -> tuple[tuple[np.ndarray, np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
+    """(both lanes, row, start, length) of every word of the rows that offsets
     delimit in data; starts are positions in data. Words are runs of bytes
     other than space and 0x09 to 0x0D; lower: A to Z count as a to z."""
     at = int(offsets[0])
     b = data[at : int(offsets[-1])]
+    bounds = offsets[1:] - at
     if lower:
         b = _LOWER[b]
-    keep = np.flatnonzero(~_SPACE[b])
-    if not len(keep):
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    row = np.searchsorted(offsets - at, keep, "right") - 1 if len(offsets) > 2 else np.zeros(len(keep), np.int64)
-    first = np.ones(len(keep), bool)
-    first[1:] = (np.diff(keep) > 1) | (np.diff(row) > 0)
+    word = _WORD[b]
+    edge = bounds[:-1][bounds[:-1] < len(b)]  # rows begin here, without a space between
+    first, last = word.copy(), word.copy()
+    first[1:] &= ~word[:-1]
+    last[:-1] &= ~word[1:]
+    first[edge] = word[edge]
+    edge = edge[edge > 0]
+    last[edge - 1] = word[edge - 1]
     starts = np.flatnonzero(first)
-    lengths = np.diff(np.append(starts, len(keep)))
-    power = _power(int(lengths.max()))
-    inside = np.arange(len(keep)) - np.repeat(starts, lengths)
-    h = np.add.reduceat(_BYTE[b[keep]] * power[inside], starts)
-    return mix(h, 1) + lengths.astype(np.uint64), row[starts], keep[starts] + at, lengths
-
-
-def windows(h: np.ndarray, k: int) -> np.ndarray:
-    """Hashes of all runs of k words, mixed; runs that cross rows are included."""
+    length = np.flatnonzero(last) + 1 - starts
+    if not len(starts):
+        z = np.zeros(0, np.int64)
+        return (z.view(np.uint64), z.view(np.uint64)), z, z, z
+    padded = np.concatenate([b, np.zeros(8, np.uint8)])
+    eight = np.ndarray(len(b) + 1, "<u8", padded.data, 0, (1,))  # the eight bytes from each position on
+    n = length.astype(np.uint64)
+    c = eight[starts] & _FIRST[np.minimum(length, 8)]
+    h = [mix(mix(c, lane=k) + n, lane=k) for k in (0, 1)]
+    more, i = np.flatnonzero((length > 8) & (length <= LONG_WORD)), 8
+    while len(more):
+        c = eight[starts[more] + i] & _FIRST[np.minimum(length[more] - i, 8)]
+        for k in (0, 1):
+            h[k][more] = mix(h[k][more] * np.uint64(_STEP[k]) + mix(c, i, k), lane=k)
+        i += 8
+        more = more[length[more] > i]
+    for j in np.flatnonzero(length > LONG_WORD):
+        digest = hashlib.blake2b(b[starts[j] : starts[j] + length[j]].tobytes(), digest_size=16).digest()
+        h[0][j], h[1][j] = np.frombuffer(digest, np.uint64)
+    return (h[0], h[1]), np.searchsorted(bounds, starts, "right"), starts + at, length
+
+
+def windows(h: np.ndarray, k: int, lane: int = 0) -> np.ndarray:
+    """One lane of the hashes of all runs of k words; runs that cross rows are included."""
     n = len(h) - k + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
+    step = np.uint64(_STEP[lane])
     # doubling: a run of 2m words is two runs of m words
-    out, have, power = np.zeros(n, np.uint64), 0, 1
-    block, size, step = h, 1, int(_Q)
-    left = k
+    out, have, block, size, left = None, 0, h, 1, k
     while left:
         if left & 1:
-            out += block[have : have + n] * np.uint64(power)
-            power = power * step & _ALL
+            part = block[have : have + n]
+            out = mix(part, k, lane) if out is None else mix(out * step + part, k, lane)
             have += size
         left >>= 1
         if left:
-            block = block[: len(block) - size] + block[size:] * np.uint64(step)
-            step = step * step & _ALL
+            block = mix(block[: len(block) - size] * step + block[size:], size, lane)
             size *= 2
-    return mix(out, k)
+    return out

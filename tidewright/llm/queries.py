@@ -95,8 +95,12 @@ QUERIES["op3_toxicity"] = op3_toxicity
 
 
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = substring.dedup_substrings(table(spark, sf_dir, "documents"))
-    return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+    out = substring.dedup_substrings(table(spark, sf_dir, "documents"), longest=LONGEST)
+    return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"), "longest")
+
+
+#: Length at which the levels of op8 end; 13 words decide what goes, longer ones tell how long passages are.
+LONGEST = 26
 
 
 OP8_SQL = r"""
@@ -106,9 +110,12 @@ with w as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0
   x as (select distinct g.doc_id, g.i + o.o p from g join m on g.win = m.win and g.doc_id > m.least, generate_series(0, 12) o(o)),
   t as (select w.doc_id, p, word from w, lateral (select unnest(generate_series(1, len(ws))) p, unnest(ws) word)),
   k as (select t.doc_id, count(x.p) n_removed, string_agg(case when x.p is null then t.word end, ' ' order by t.p) kept
-        from t left join x on t.doc_id = x.doc_id and t.p = x.p group by t.doc_id)
-select w.doc_id, len(ws) as n_words, coalesce(k.n_removed, 0) as n_removed, sha256(coalesce(k.kept, '')) as kept_sha256
-from w left join k on w.doc_id = k.doc_id
+        from t left join x on t.doc_id = x.doc_id and t.p = x.p group by t.doc_id),
+  h as (select doc_id, array_to_string(ws[i:i + 25], ' ') win from w, lateral (select unnest(generate_series(1, len(ws) - 25)) i)),
+  l as (select distinct h.doc_id from h join (select win, min(doc_id) least from h group by win) using (win) where h.doc_id > least)
+select w.doc_id, len(ws) as n_words, coalesce(k.n_removed, 0) as n_removed, sha256(coalesce(k.kept, '')) as kept_sha256,
+  case when l.doc_id is not null then 26 when k.n_removed > 0 then 13 else 0 end as longest
+from w left join k on w.doc_id = k.doc_id left join l on w.doc_id = l.doc_id
 """
 
 QUERIES["op8_substring_dedup"] = op8_substring_dedup
