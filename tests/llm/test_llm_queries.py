@@ -105,15 +105,6 @@ def test_op7_against_the_library(spark, duck):
         assert r.decoded_sha256 == hashlib.sha256((texts[r.doc_id] or "").encode()).hexdigest()
 
 
-def test_op10_against_its_plain_form(spark, duck):
-    from tidewright.llm.queries import OP10_SQL
-
-    got = QUERIES["op10_warc"](spark, SF)
-    same(got.drop("index_range", "index_seq"), duck, OP10_SQL)
-    order = [(r.index_range, r.index_seq) for r in got.collect()]
-    assert len(set(order)) == len(order)
-
-
 def test_pipeline_by_stages(spark, duck):
     import corpus_pipeline as c
 

@@ -28,6 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import small_batches
+
 #: Characters of a leaf of a text, bytes of a leaf of a piece, tokens of a leaf in decoding.
 TEXT_LEAF, PIECE_LEAF, DECODE_LEAF = 1 << 13, 32, 1 << 14
 #: Encodings that a worker remembers; beyond that it forgets them all and begins anew.
@@ -164,7 +166,9 @@ def _sent(df: DataFrame, ranks_path: str):
 
 
 def encode(docs: DataFrame, ranks_path: str, pattern: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, ids array<int>) for each row; a null or empty text has no ids. Other columns are not read."""
+    """(doc_id, ids array<int>) for each row; a null or empty text has no ids.
+    Texts may be of any length; equal rows give equal results. Other columns
+    are not read. An empty table gives an empty one."""
     sent = _sent(docs, ranks_path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -191,7 +195,10 @@ def decode(tokens: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
 
 def round_trip(docs: DataFrame, ranks_path: str, pattern: str, doc_id: str = "doc_id", text: str = "text", with_ids: bool = False) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256): each text encoded, its
-    ids decoded, and both digested, in one pass; with_ids: the ids too."""
+    ids decoded, and both digested, in one pass; with_ids: the ids too. A null
+    or empty text has no ids, texts may be of any length, equal rows give equal
+    results, other columns are not read, and an empty table gives an empty one."""
+    small_batches(docs.sparkSession)
     sent = _sent(docs, ranks_path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

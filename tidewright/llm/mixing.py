@@ -66,10 +66,16 @@ def mix_sources(docs: DataFrame, weights: DataFrame | None = None, total: float
 
     Rows that share an id draw the same count. A null id counts as the text
     "null"; a null source is a source of its own; an empty table stays empty.
-    Input columns named copy or mix_key are replaced."""
+    Columns of any names pass through, texts of any length too: where an input
+    column is named copy or mix_key, the new one gets underscores behind."""
+    copy, mix_key = "copy", "mix_key"
+    while copy in docs.columns:
+        copy += "_"
+    while mix_key in docs.columns:
+        mix_key += "_"
     rates = source_rates(docs, weights, total, source)
     n_sources = docs.select(F.approx_count_distinct(source)).first()[0]
-    d = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c not in ("copy", "mix_key")]).alias("d"))
+    d = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("d"))
     key = F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(f"d.`{doc_id}`").cast("string"), F.lit("null")))
     d = d.select("d", F.col(f"d.`{source}`").alias("_source"), key.alias("_key"))
     rates = rates.select(F.col("source").alias("_of"), "draws", "cdf")
@@ -91,7 +97,7 @@ def mix_sources(docs: DataFrame, weights: DataFrame | None = None, total: float
             ),
         )
         .where("_count > 0")
-        .select("d", "_key", F.explode(F.sequence(F.lit(1), F.col("_count"))).alias("copy"))
-        .withColumn("mix_key", F.sha2(F.concat(F.col("_key"), F.lit("/"), F.col("copy").cast("string")), 256))
+        .select("d", "_key", F.explode(F.sequence(F.lit(1), F.col("_count"))).alias("_copy"))
+        .withColumn("_mix", F.sha2(F.concat(F.col("_key"), F.lit("/"), F.col("_copy").cast("string")), 256))
     )
-    return drawn.repartition("mix_key").sortWithinPartitions("mix_key").select("d.*", "copy", "mix_key")
+    return drawn.repartition("_mix").sortWithinPartitions("_mix").select("d.*", F.col("_copy").alias(copy), F.col("_mix").alias(mix_key))

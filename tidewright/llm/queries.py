@@ -51,7 +51,7 @@ from pg left join rep on host = r_host
 
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     merged = warc.round_trip(table(spark, sf_dir, "pages"), fresh_path(spark, "warc"))
-    return merged.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", F.col("range").alias("index_range"), F.col("seq").alias("index_seq"))
+    return merged.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 OP10_SQL = """
@@ -67,14 +67,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_url_reputation": op6_url_reputation,
     "op10_warc": op10_warc,
 }
-ORACLES: dict[str, str] = {"op4_mixing": OP4_SQL, "op6_url_reputation": OP6_SQL}
+ORACLES: dict[str, str] = {"op4_mixing": OP4_SQL, "op6_url_reputation": OP6_SQL, "op10_warc": OP10_SQL}
 
 
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = pii.find(docs, pii.fit(docs))
     count = lambda kind: F.expr(f"cast(size(filter(base, s -> s.kind = {pii.KINDS.index(kind)})) as long)").alias(f"n_{kind}")
-    return found.select("doc_id", *[count(k) for k in pii.BASE], F.sha2(F.expr(pii.spans_text("base")), 256).alias("base_sha256"), F.expr(pii.spans_text("spans")).alias("spans"))
+    return found.select("doc_id", *[count(k) for k in pii.BASE], F.sha2(F.expr(pii.spans_text("base")), 256).alias("base_sha256"), F.expr(pii.spans_text("spans")).alias("spans"), F.expr(f"cast(size(filter(spans, s -> s.kind = {pii.KINDS.index('secret')})) as long)").alias("n_secret"), F.size("spans").cast("long").alias("n_spans"))
 
 
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -99,8 +99,8 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"), "longest")
 
 
-#: Length at which the levels of op8 end; 13 words decide what goes, longer ones tell how long passages are.
-LONGEST = 26
+#: Length at which the levels of op8 end: 13 words decide what goes.
+LONGEST = 13
 
 
 OP8_SQL = r"""
@@ -110,12 +110,10 @@ with w as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0
   x as (select distinct g.doc_id, g.i + o.o p from g join m on g.win = m.win and g.doc_id > m.least, generate_series(0, 12) o(o)),
   t as (select w.doc_id, p, word from w, lateral (select unnest(generate_series(1, len(ws))) p, unnest(ws) word)),
   k as (select t.doc_id, count(x.p) n_removed, string_agg(case when x.p is null then t.word end, ' ' order by t.p) kept
-        from t left join x on t.doc_id = x.doc_id and t.p = x.p group by t.doc_id),
-  h as (select doc_id, array_to_string(ws[i:i + 25], ' ') win from w, lateral (select unnest(generate_series(1, len(ws) - 25)) i)),
-  l as (select distinct h.doc_id from h join (select win, min(doc_id) least from h group by win) using (win) where h.doc_id > least)
+        from t left join x on t.doc_id = x.doc_id and t.p = x.p group by t.doc_id)
 select w.doc_id, len(ws) as n_words, coalesce(k.n_removed, 0) as n_removed, sha256(coalesce(k.kept, '')) as kept_sha256,
-  case when l.doc_id is not null then 26 when k.n_removed > 0 then 13 else 0 end as longest
-from w left join k on w.doc_id = k.doc_id left join l on w.doc_id = l.doc_id
+  case when k.n_removed > 0 then 13 else 0 end as longest
+from w left join k on w.doc_id = k.doc_id
 """
 
 QUERIES["op8_substring_dedup"] = op8_substring_dedup

@@ -1,10 +1,10 @@
 """Toxic passages by maximum-scoring segments of token log-odds.
 
-Tokens are words and, for words that training has not seen, their first four
-letters. A token's score is its log-odds between toxic and clean documents
-with an informative Dirichlet prior (Monroe et al. 2008), kept where it is
-significant and zero elsewhere; every token pays a drift, so that random text
-scores below zero. One linear scan (Ruzzo and Tompa 1999) finds all maximal
+Tokens are words and, for words that training has seen in fewer than FEW
+documents, their first four letters. A token's score is its log-odds between
+toxic and clean documents with an informative Dirichlet prior (Monroe et al.
+2008), above or below zero, kept where it is significant and zero elsewhere;
+every token pays a drift, so that random text scores below zero. One linear scan (Ruzzo and Tompa 1999) finds all maximal
 segments. Their scores follow an extreme-value law in clean text (Karlin and
 Altschul 1990): lambda solves sum p exp(lambda s) = 1 over clean tokens, K is
 counted on clean documents. A document adds up the evidence of its significant
@@ -22,12 +22,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import small, small_batches, stored
 
 #: Labelled documents that training takes, about; they are chosen by a hash. This bounds the model.
 TRAIN_DOCS = 40_000
-#: Prior counts as a multiple of the toxic ones, least z of a token that counts, most a token scores, drift of every token, letters of a stem.
-PRIOR, LEAST_Z, MOST, DRIFT, STEM = 1.0, 3.3, 6.0, 0.25, 4
+#: Prior counts as a multiple of the toxic ones, least z of a token that counts, most a token scores, drift of every token, letters of a stem, documents that make a word known.
+PRIOR, LEAST_Z, MOST, DRIFT, STEM, FEW = 1.0, 3.3, 6.0, 0.25, 4, 5
 #: A segment is significant when its expected number in clean texts of this size is below this.
 SIGNIFICANT = 1.0
 #: Evidence is binned to this step for the fit of the curve.
@@ -38,12 +38,15 @@ words = re.compile(r"[^\W_]+").findall
 
 def maximal_segments(scores: list[tuple[int, float]]) -> list[tuple[int, int, float]]:
     """(first, last, score) of all maximal-scoring segments, left to right.
-    scores: (position, score) of the tokens with a score above zero, in order;
-    all other tokens score -DRIFT, and the given scores include their drift."""
+    scores: (position, score) of some tokens, in order; all other tokens score
+    -DRIFT, and the given scores include their drift."""
     found: list[list] = []  # [sum before, sum after, first, last]
     total, at = 0.0, 0
     for pos, s in scores:
         total -= DRIFT * (pos - at)
+        if s <= 0:
+            total, at = total + s, pos + 1
+            continue
         cand = [total, total + s, pos, pos]
         total, at = cand[1], pos + 1
         while True:
@@ -59,18 +62,19 @@ def maximal_segments(scores: list[tuple[int, float]]) -> list[tuple[int, int, fl
 
 
 class Model:
-    """Scores of words and stems (drift included), the extreme-value law and the curve."""
+    """Scores of words and stems (drift included), the known words with a scored
+    stem, which never fall back to it, the extreme-value law and the curve."""
 
-    def __init__(self, word: dict[str, float], stem: dict[str, float], lam: float = 1.0, k: float = 1.0, slope: float = 0.0, base: float = -4.0) -> None:
-        self.word, self.stem, self.lam, self.k, self.slope, self.base = word, stem, lam, k, slope, base
+    def __init__(self, word: dict[str, float], stem: dict[str, float], lam: float = 1.0, k: float = 1.0, slope: float = 0.0, base: float = -4.0, known: frozenset[str] = frozenset()) -> None:
+        self.word, self.stem, self.lam, self.k, self.slope, self.base, self.known = word, stem, lam, k, slope, base, known
 
     def segments(self, text: str) -> tuple[int, list[tuple[int, int, float]]]:
         tokens = words(text.lower())
-        word, stem = self.word, self.stem
+        word, stem, known = self.word, self.stem, self.known
         hits = []
         for i, t in enumerate(tokens):
             s = word.get(t)
-            if s is None:
+            if s is None and t not in known:
                 s = stem.get(t[:STEM])
             if s is not None:
                 hits.append((i, s))
@@ -110,10 +114,11 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def fit(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS) -> Model:
     """Learn from docs (doc_id, text) and labels (doc_id, toxic 0 or 1). Rows
-    with a null in either count for nothing; a document labelled twice counts
-    twice. Without toxic or clean rows the model scores every text at the rate
-    of toxic labels."""
-    y = labels.select(F.col("doc_id").alias("l_id"), F.col("toxic").cast("int").alias("y")).where("l_id is not null and y in (0, 1)")
+    with a null in either count for nothing; labels that repeat count once, a
+    document labelled both ways counts for both, rows of docs that share an id
+    count each. Without toxic or clean rows, as with empty tables, the model
+    scores every text at the rate of toxic labels. Other columns are not read."""
+    y = labels.select(F.col("doc_id").alias("l_id"), F.col("toxic").cast("int").alias("y")).where("l_id is not null and y in (0, 1)").distinct()
     n, n_toxic = y.agg(F.count("*"), F.sum("y")).first()
     rate = ((n_toxic or 0) + 0.5) / (n + 1.0)
     plain = Model({}, {}, base=math.log(rate / (1 - rate)))
@@ -121,8 +126,9 @@ def fit(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS) -> Mod
         return plain
     share = min(1.0, train_docs / n)
     y = y.where(F.pmod(F.xxhash64(F.col("l_id"), F.lit(17)), F.lit(1 << 30)) < int(share * (1 << 30)))
-    # about train_docs rows of two numbers whatever the size of labels, so they may be broadcast: texts are not shuffled
-    train = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(y), F.expr("doc_id = l_id")).select("text", "y")
+    # about train_docs rows of two numbers whatever the size of labels: texts are not shuffled
+    y = stored(y, "labels")
+    train = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(small(y, y.count(), 4 * TRAIN_DOCS), F.expr("doc_id = l_id")).select("text", "y")
     tokens = train.mapInArrow(_counts, "w string, t long, c long").groupBy("w").agg(F.sum("t").alias("t"), F.sum("c").alias("c"))
     tokens = stored(tokens, "tokens")
     n_t, n_c = next(((float(r.t), float(r.c)) for r in tokens.where("w = ''").collect()), (0.0, 0.0))
@@ -135,15 +141,22 @@ def fit(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS) -> Mod
         d = math.log((r.t + a) / (n_t + prior - r.t - a)) - math.log((r.c + a) / (n_c + prior - r.c - a))
         return d, d / math.sqrt(1 / (r.t + a) + 1 / (r.c + a))
 
-    # more than its share in toxic text and seen there several times: bounded by the tokens of the training documents
-    rows = [(r, *odds(r)) for r in tokens.where(F.expr(f"w <> '' and t >= 5 and t * {n_c!r}D > 2 * c * {n_t!r}D")).collect()]
-    kept = [(r, min(MOST, d) - DRIFT) for r, d, z in rows if z >= LEAST_Z and d > 2 * DRIFT]
+    # far from its share in toxic text and seen there, or expected there, several times: bounded by the tokens of the training documents
+    share_t = n_t / (n_t + n_c)
+    likely = f"w <> '' and (t >= 5 and t * {n_c!r}D > 2 * c * {n_t!r}D or (t + c) * {share_t!r}D >= 5 and 2 * t * {n_c!r}D < c * {n_t!r}D)"
+    rows = [(r, *odds(r)) for r in tokens.where(F.expr(likely)).collect()]
+    kept = [(r, max(-MOST, min(MOST, d)) - DRIFT) for r, d, z in rows if abs(z) >= LEAST_Z and abs(d) > 2 * DRIFT]
     word = {r.w: s for r, s in kept if not r.w.endswith("*")}
-    stem = {r.w[:-1]: s for r, s in kept if r.w.endswith("*")}
-    # lambda: stems and words overlap, so a word counts as itself and the rest of its stem as the stem
+    stem = {r.w[:-1]: s for r, s in kept if r.w.endswith("*") and s > 0}
+    # words with a scored stem: the known ones score zero, of the others the stem tells
+    spark = docs.sparkSession
+    stems = spark.createDataFrame([(w,) for w in stem], "s string")
+    of = tokens.where("not w like '%*'").join(small(stems, len(stem)), F.expr(f"left(w, {STEM}) = s"))
+    known = frozenset(r.w for r in of.where(F.col("t") + F.col("c") >= FEW).select("w").collect())
+    few = {r.s: float(r.c or 0) for r in of.where(F.col("t") + F.col("c") < FEW).groupBy("s").agg(F.sum("c").alias("c")).collect()}
     clean = {r.w: r.c / n_c for r, _ in kept}
     law = [(s, clean[w] + 0.5 / n_c) for w, s in word.items()]
-    law += [(s, max(0.0, clean[w + "*"] - sum(clean[x] for x in word if x[:STEM] == w)) + 0.5 / n_c) for w, s in stem.items()]
+    law += [(s, few.get(w, 0.0) / n_c + 0.5 / n_c) for w, s in stem.items()]
     rest = max(0.0, 1 - sum(p for _, p in law))
     f = lambda lam: rest * math.exp(-lam * DRIFT) + sum(p * math.exp(lam * s) for s, p in law) - 1
     lo, hi = 1e-3, 20.0
@@ -152,7 +165,7 @@ def fit(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS) -> Mod
     for _ in range(60):
         mid = (lo + hi) / 2
         lo, hi = (mid, hi) if f(mid) < 0 else (lo, mid)
-    model = Model(word, stem, lam=lo)
+    model = Model(word, stem, lam=lo, known=known)
 
     def clean_tail(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n_tokens = n_found = 0.0
@@ -202,7 +215,9 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     """(doc_id, score, passages) for each row of docs: the probability of a
     toxic label and the significant passages as array<struct<first, last,
     evidence>> in token positions. A null or empty text has no passage and the
-    lowest score. Other columns are not read."""
+    lowest score. Equal texts score alike, ties included; texts may be of any
+    length. Other columns are not read. An empty table gives an empty one."""
+    small_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the training documents
     kind = pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32()), ("evidence", pa.float64())]))
 
@@ -223,7 +238,9 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def keep_clean(docs: DataFrame, model: Model, least: float = 0.5, text: str = "text") -> DataFrame:
-    """The rows of docs, with all their columns, that score below `least`."""
+    """The rows of docs, with all their columns, whatever their names, that score
+    below `least`; a null text counts as empty. Rows that repeat stay or go together."""
+    small_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index(text)
 

@@ -26,11 +26,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import connected_components, small, stored
-from .vectors import lengths, matrix, usable
+from .vectors import components, lengths, matrix, usable
 
 COSINE = 0.98
-#: Vectors that the codebooks are fitted on, at most about; rounds of k-means; vectors of a label that a cell should hold; codewords of a half at most.
-SAMPLE, ROUNDS, CELL, CODEWORDS = 20_000, 12, 48, 64
+#: Vectors that the codebooks are fitted on, at most about; rounds of k-means; vectors of a label that a cell should hold; sampled vectors to a codeword of a half at least.
+SAMPLE, ROUNDS, CELL, PER_CODEWORD = 20_000, 12, 48, 8
 #: Vectors of a block.
 BLOCK = 2048
 
@@ -92,9 +92,11 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, vec_id: str = "v
     directly, component_id is the smallest vec_id that links reach, kept says
     whether that is the row's own. Vectors that are null, empty or zero, or hold
     null or non-finite components, and rows with a null label or id link with
-    nothing: no links, their own component (null for a null id, then not kept)."""
-    ids = vectors.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(embedding).cast("array<float>").alias("v"), F.col(label).alias("label"))
-    good = usable(vectors, vec_id, embedding, F.col(label).alias("label")).where("label is not null").where("exists(v, x -> x <> 0)")
+    nothing: no links, their own component (null for a null id, then not kept).
+    Rows that repeat link with each other; rows that share an id are one vertex.
+    Columns of any other name are not read. An empty table gives an empty one."""
+    ids = vectors.select(F.col(f"`{vec_id}`").cast("long").alias("vec_id"), F.col(f"`{embedding}`").cast(f"array<{components(vectors, embedding)}>").alias("v"), F.col(f"`{label}`").alias("label"))
+    good = usable(vectors, vec_id, embedding, F.col(f"`{label}`").alias("label")).where("label is not null").where("exists(v, x -> x <> 0)")
     classes = stored(good.groupBy("label", "v").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies")), "vectors")
     met = None
     for dim in lengths(classes):
@@ -122,7 +124,7 @@ def _one_length(classes: DataFrame, cosine: float) -> DataFrame:
     sample = classes.where(F.pmod(F.xxhash64("rep", F.lit(11)), F.lit(1 << 30)) < int(take * (1 << 30))).select("v").limit(2 * SAMPLE).collect()
     x = unit(np.array([r.v for r in sample], np.float64)) if sample else np.ones((1, len(classes.first().v)))
     half = x.shape[1] // 2
-    words = int(np.clip(np.sqrt(n / max(1, n_labels) / CELL), 1, CODEWORDS))
+    words = int(np.clip(np.sqrt(n / max(1, n_labels) / CELL), 1, max(1, len(x) // PER_CODEWORD)))  # grows with the square root of n
     c1, c2 = codebook(x[:, :half], words), codebook(x[:, half:], words)
     reach = 2 - 2 * cosine + 1e-9
 
@@ -139,11 +141,11 @@ def _one_length(classes: DataFrame, cosine: float) -> DataFrame:
             cells = [[i * len(c2) + j for i, j in multi_sequence(p[r], q[r], reach)] for r in range(len(u))]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array(cells, pa.list_(pa.int64()))], names=["label", "v", "rep", "cells"])
 
-    kind = dict(classes.dtypes)["label"]
-    home = stored(classes.select("label", "v", "rep", "copies").mapInArrow(homes, f"label {kind}, v array<float>, rep long, copies long, cell long"), "homes")
+    kind, v_type = dict(classes.dtypes)["label"], dict(classes.dtypes)["v"]
+    home = stored(classes.select("label", "v", "rep", "copies").mapInArrow(homes, f"label {kind}, v {v_type}, rep long, copies long, cell long"), "homes")
     lived = home.groupBy(F.col("label").alias("o_label"), F.col("cell").alias("o_cell")).agg(F.count("*").alias("residents"))
     n_cells = lived.count()
-    seen = home.select("label", "v", "rep").mapInArrow(visits, f"label {kind}, v array<float>, rep long, cells array<long>").select("label", "v", "rep", F.explode("cells").alias("cell"))
+    seen = home.select("label", "v", "rep").mapInArrow(visits, f"label {kind}, v {v_type}, rep long, cells array<long>").select("label", "v", "rep", F.explode("cells").alias("cell"))
     came = seen.join(small(lived, n_cells), F.expr("label = o_label and cell = o_cell")).drop("o_label", "o_cell")  # empty cells go
     came = stored(came, "visits")
     visitors = came.groupBy(F.col("label").alias("o_label"), F.col("cell").alias("o_cell")).agg(F.count("*").alias("visitors"))
@@ -160,7 +162,12 @@ def _one_length(classes: DataFrame, cosine: float) -> DataFrame:
         if not res.num_rows or not vis.num_rows:
             return empty
         a, b = vis.column("rep").to_numpy(), res.column("rep").to_numpy()
-        link = unit(matrix(vis.column("v"))) @ unit(matrix(res.column("v"))).T >= cosine
+        u, w = unit(matrix(vis.column("v"))), unit(matrix(res.column("v")))
+        c = u @ w.T
+        link = c >= cosine
+        i, j = np.nonzero(np.abs(c - cosine) < 1e-12)  # a product of matrices may round (a, b) and (b, a) differently
+        if len(i):
+            link[i, j] = (u[i] * w[j]).sum(1) >= cosine
         link &= a[:, None] != b[None, :]
         i, j = link.any(1), link.any(0)
         if not i.any():

@@ -4,16 +4,23 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: A vector column v takes part when it is neither null nor empty and all components are finite numbers.
-USABLE = "coalesce(size(v) > 0 and forall(v, x -> x is not null and not isnan(x) and abs(x) < float('infinity')), false)"
+USABLE = "coalesce(size(v) > 0 and forall(v, x -> x is not null and not isnan(x) and abs(x) < double('infinity')), false)"
 
 
-def usable(df: DataFrame, vec_id: str, embedding: str, *more: str) -> DataFrame:
+def components(df: DataFrame, embedding: str) -> str:
+    """float or double: the type that holds the components of a vector column as they are."""
+    kind = df.schema[embedding].dataType
+    return "float" if isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.FloatType) else "double"
+
+
+def usable(df: DataFrame, vec_id: str, embedding: str, *more: Column) -> DataFrame:
     """(vec_id, v, more...) of rows whose id is not null and whose vector takes part."""
-    v = df.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(embedding).cast("array<float>").alias("v"), *more)
+    v = df.select(F.col(f"`{vec_id}`").cast("long").alias("vec_id"), F.col(f"`{embedding}`").cast(f"array<{components(df, embedding)}>").alias("v"), *more)
     return v.where("vec_id is not null").where(USABLE)
 
 

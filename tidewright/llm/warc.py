@@ -3,8 +3,9 @@ ordered capture index built by external merging.
 
 Writing goes through Spark's own text writer, so archives can live in any
 store that Spark reaches. Reading yields, for each archive, a run of captures
-sorted by URL key and timestamp. The runs are cut at common key boundaries and
-each key range is merged from its k runs by a loser tree."""
+sorted by URL key and timestamp. The runs are cut at common key boundaries; a
+piece of a run is sent as one value, so it stays in order, and each key range
+is merged from its k pieces by a loser tree."""
 
 from __future__ import annotations
 
@@ -22,8 +23,8 @@ from .common import small, stored
 CRLF = "\r\n"
 #: Payloads of fewer bytes are always stored in full.
 REVISIT_BYTES = 1000
-#: Records in one archive file at most, which bounds what a reading task holds.
-RECORDS_PER_FILE = 2000
+#: Records in one archive file at most, and bytes of payload in one (one record at least), which bound what a reading task holds.
+RECORDS_PER_FILE, FILE_BYTES = 2000, 1 << 28
 #: Index rows that a merging task is meant to take, and keys sampled to find the boundaries.
 ROWS_PER_RANGE, SAMPLED_KEYS = 200_000, 20_000
 
@@ -49,12 +50,18 @@ def write_warc(pages: DataFrame, path: str, min_bytes: int = REVISIT_BYTES, epoc
     with the largest page_id is a response and the others are revisits of it;
     rows that share that page_id are all responses. A null html is an empty
     payload, a null page_id an empty name. A page's capture time is epoch plus
-    page_id seconds. Line ends in a url are percent-encoded."""
+    page_id seconds, in UTC whatever the session's time zone. Line ends in a url
+    are percent-encoded. Pages of more than FILE_BYTES / RECORDS_PER_FILE bytes
+    go to files of fewer records, so payloads may be of any length that a string
+    holds. Other columns are not read; an empty table gives an archive without records."""
     r = _records(pages, min_bytes)
     name = lambda c: F.concat(F.lit("<urn:page:"), F.coalesce(c.cast("string"), F.lit("")), F.lit(">"))
     line = lambda key, value: F.concat(F.lit(key + ": "), value, F.lit(CRLF))
     url = F.regexp_replace(F.regexp_replace("url", "\r", "%0D"), "\n", "%0A")
-    when = F.date_format(F.timestamp_seconds(F.lit(epoch) + F.coalesce(F.col("page_id"), F.lit(0)) % F.lit(3_000_000_000)), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    # from whole seconds, as formatting a timestamp would follow the session's time zone
+    r = r.withColumn("_s", F.lit(epoch) + F.coalesce(F.col("page_id"), F.lit(0)) % F.lit(3_000_000_000))
+    two = lambda n: f"lpad(cast({n} as string), 2, '0')"
+    when = F.expr(f"concat(cast(date_add(date'1970-01-01', cast(floor(_s / 86400) as int)) as string), 'T', {two('pmod(_s, 86400) div 3600')}, ':', {two('pmod(_s, 3600) div 60')}, ':', {two('pmod(_s, 60)')}, 'Z')")
     revisit = F.col("refers_to").isNotNull()
     http = F.concat(F.lit(f"HTTP/1.1 200 OK{CRLF}Content-Type: text/html; charset=utf-8{CRLF}Content-Length: "), F.col("bytes").cast("string"), F.lit(CRLF * 2))
     payload = F.when(revisit, F.lit("")).otherwise(F.col("html"))
@@ -67,7 +74,14 @@ def write_warc(pages: DataFrame, path: str, min_bytes: int = REVISIT_BYTES, epoc
         line("Content-Length", (F.octet_length(http) + F.octet_length(payload)).cast("string")),
         F.lit(CRLF), http, payload,
     )
-    r.select(record.alias("value")).write.option("lineSep", CRLF * 2).option("compression", "gzip").option("maxRecordsPerFile", RECORDS_PER_FILE).text(path)
+    limit = FILE_BYTES // RECORDS_PER_FILE
+    largest = pages.agg(F.max(F.octet_length("html"))).first()[0] or 0
+    put = lambda rows, n, mode: rows.select(record.alias("value")).write.mode(mode).option("lineSep", CRLF * 2).option("compression", "gzip").option("maxRecordsPerFile", n).text(path)
+    if largest <= limit:
+        put(r, RECORDS_PER_FILE, "error")
+    else:
+        put(r.where(F.col("bytes") <= limit), RECORDS_PER_FILE, "error")
+        put(r.where(F.col("bytes") > limit), max(1, FILE_BYTES // largest), "append")
 
 
 class _Stream:
@@ -211,7 +225,8 @@ def merge_runs(runs: DataFrame, rows_per_range: int = ROWS_PER_RANGE) -> DataFra
     """The columns of runs, with range and seq (long): ordered by (range, seq),
     the captures are ordered by URL key and timestamp. A key range holds about
     rows_per_range captures; captures of one URL may span ranges, as boundaries
-    are whole keys of the order, page and file included."""
+    are whole keys of the order, page and file included. A run that is not in
+    order counts as several. Repeated captures all stay."""
     spark, n = runs.sparkSession, runs.count()
     ranges = max(1, -(-n // rows_per_range))
     cuts: list[tuple] = []
@@ -222,25 +237,25 @@ def merge_runs(runs: DataFrame, rows_per_range: int = ROWS_PER_RANGE) -> DataFra
     out_schema = RUN_SQL + ", range int, seq long"
 
     def merge(table: pa.Table) -> pa.Table:
-        rows = list(zip(*(table.column(f.name).to_pylist() for f in RUN), strict=True))
-        by: dict[str, list] = {}
-        for row in rows:
-            by.setdefault(row[0], []).append(row)
-        pieces = []
-        for run in by.values():
-            if any(_order(a) > _order(b) for a, b in zip(run, run[1:], strict=False)):
-                run.sort(key=_order)  # a shuffle may deliver the pieces of a run out of order
-            pieces.append(run)
+        pieces = [[tuple(x.values()) for x in p] for p in table.column("piece").to_pylist()]
         merged = list(LoserTree(pieces))
         arrays = [pa.array(c, f.type) for c, f in zip(zip(*merged, strict=True), RUN, strict=True)]
-        return pa.table([*arrays, table.column("range").combine_chunks(), pa.array(range(len(merged)), pa.int64())], names=[*RUN.names, "range", "seq"])
+        return pa.table([*arrays, pa.array([table.column("range")[0].as_py()] * len(merged), pa.int32()), pa.array(range(len(merged)), pa.int64())], names=[*RUN.names, "range", "seq"])
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The pieces of each run: neighbours of one file and range, and in order."""
         for b in batches:
-            rows = zip(*(b.column(f.name).to_pylist() for f in RUN), strict=True)
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array([bisect.bisect_right(cuts, _order(r)) for r in rows], pa.int32())], names=[*RUN.names, "range"])
-
-    dealt = runs.mapInArrow(deal, RUN_SQL + ", range int")
+            rows = list(zip(*(b.column(f.name).to_pylist() for f in RUN), strict=True))
+            if not rows:
+                continue
+            order = [_order(r) for r in rows]
+            at = [bisect.bisect_right(cuts, o) for o in order]
+            first = [0, *(i for i in range(1, len(rows)) if rows[i][0] != rows[i - 1][0] or at[i] != at[i - 1] or order[i] < order[i - 1])]
+            struct = pa.StructArray.from_arrays([b.column(f.name) for f in RUN], names=RUN.names)
+            pieces = pa.ListArray.from_arrays(pa.array([*first, len(rows)], pa.int32()), struct)
+            yield pa.RecordBatch.from_arrays([pa.array([at[i] for i in first], pa.int32()), pieces], names=["range", "piece"])
+
+    dealt = runs.mapInArrow(deal, f"range int, piece array<struct<{RUN_SQL.replace(' ', ': ').replace(',:', ',')}>>")
     return dealt.groupBy("range").applyInArrow(merge, out_schema)
 
 
