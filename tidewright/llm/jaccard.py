@@ -20,9 +20,10 @@ remains within reach in a small region is a candidate.
 
 Candidates are compared by their words, exactly. So that no group is ever
 expanded into all its pairs, a round sends the stars of a few members that cover
-the others. Links found join components; pairs across components that are
-still within reach form the cells of the next round, whose stars cover each
-member four times as often, until no pair is left."""
+the others, once each at first. Links found join components; members of
+different components that are still within reach form the cells of the next
+round, whose stars cover each member four times as often, until all pairs that
+are left have been compared."""
 
 from __future__ import annotations
 
@@ -262,23 +263,32 @@ def candidates(sketch: list[bytes], n: np.ndarray, comp: np.ndarray, least: int
     return p // len(n), p % len(n)
 
 
-def stars(i: np.ndarray, j: np.ndarray, m: int, cover: int) -> tuple[np.ndarray, np.ndarray]:
-    """(chosen pairs, centres): centres are taken until every member of a pair
-    is a centre or has `cover` of them as partners; all pairs of a centre are chosen."""
-    centre = np.zeros(m, bool)
+def stars(i: np.ndarray, j: np.ndarray, m: int, cover: int) -> np.ndarray:
+    """Which pairs to compare now. Members are taken in order; one that has fewer
+    than `cover` pairs so far becomes a centre: it gets its pairs with members
+    that have fewer, and others until it has `cover` itself. So a member is in
+    about `cover` pairs, and in all once `cover` is the number of its partners."""
+    chosen = np.zeros(len(i), bool)
     if len(i) == 1:
-        centre[i] = True
-        return np.ones(1, bool), centre
-    ends, other = np.concatenate([i, j]), np.concatenate([j, i])
-    order = np.argsort(ends, kind="stable")
-    ends, other = ends[order], other[order]
+        chosen[:] = True
+        return chosen
+    ends, other, which = np.concatenate([i, j]), np.concatenate([j, i]), np.tile(np.arange(len(i)), 2)
+    order = np.lexsort((other, ends))
+    ends, other, which = ends[order], other[order], which[order]
     first, size = _runs(ends)
-    covered = np.zeros(m, np.int64)
+    pairs_of = np.zeros(m, np.int64)
     for v, a, c in zip(ends[first], first, size, strict=True):
-        if covered[v] < cover:
-            centre[v] = True
-            covered[other[a : a + c]] += 1
-    return centre[i] | centre[j], centre
+        if pairs_of[v] >= cover:
+            continue
+        u, w = other[a : a + c], which[a : a + c]
+        free = ~chosen[w]
+        take = free & (pairs_of[u] < cover)
+        if (short := cover - pairs_of[v] - take.sum()) > 0:
+            take[np.flatnonzero(free & ~take)[:short]] = True
+        chosen[w[take]] = True
+        pairs_of[u[take]] += 1
+        pairs_of[v] += take.sum()
+    return chosen
 
 
 def _join_cells(least: int, cover: int):
@@ -306,7 +316,7 @@ def _join_cells(least: int, cover: int):
                 i, j = candidates(sketch[part], n[part].astype(np.int64), comp[part], least)
                 if not len(i):
                     continue
-                chosen, centre = stars(i, j, size, cover)
+                chosen = stars(i, j, size, cover)
                 x, y = r[i[chosen]], r[j[chosen]]
                 out[0] += [None] * len(x)
                 out[1] += np.minimum(x, y).tolist()
