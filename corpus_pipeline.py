@@ -13,28 +13,37 @@ from tidewright.llm.common import stored
 
 
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents below an even chance of a toxic label; the model learns from labels that are not held out."""
+    """Documents below an even chance of a toxic label; the model learns from
+    labels that are not held out. A null or empty text is clean; equal rows stay
+    or go together; an empty table stays empty; columns of any name pass through."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return toxicity.keep_clean(docs, toxicity.fit(docs, labels.where(~toxicity.held_out(F.col("doc_id")))))
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The smallest doc_id of each component of documents that share three quarters of their five-word shingles."""
+    """The smallest doc_id of each component of documents that share three
+    quarters of their five-word shingles. Null and empty texts and rows with a
+    null id stay; of rows that share an id one stays; an empty table stays
+    empty; columns of any name pass through."""
     return jaccard.keep_one(docs)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts with personal data replaced; n_chars follows."""
+    """Texts with personal data replaced; n_chars follows, null for a null text.
+    Equal rows give equal results; an empty table stays empty; other columns of any name pass through."""
     return pii.redact(docs).withColumn("n_chars", F.length("text").cast("long"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """As many documents as before, from every source alike; copies keep their doc_id."""
+    """About as many documents as before, from every source alike; copies keep
+    their doc_id. A null source is one of its own, null and repeated ids draw
+    alike; an empty table stays empty; columns of any name pass through."""
     return mixing.mix_sources(docs).select(*docs.columns)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, number of tokens, digests of ids and decoded bytes, and the ids."""
+    """doc_id, number of tokens, digests of ids and decoded bytes, and the ids. A
+    null or empty text has none; other columns are not read; an empty table gives an empty one."""
     return bpe.round_trip(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN, with_ids=True)
 
 
@@ -45,6 +54,8 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over documents, each stored in the shared folder and read
+    again by the next, so that a lost executor costs the tasks of one stage."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), name)
