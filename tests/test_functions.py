@@ -11,7 +11,9 @@ from tidewright.functions import tags as G
 from tidewright.functions import text as X
 from tidewright.functions.vectors import is_card, matches_source, valid_vector
 from tidewright.operators.split import estimate, split_text
-from tidewright.plans.config import EngineConfig, not_ready_budget
+from tidewright.plans.config import EngineConfig, allowed_engines, not_ready_budget
+from tidewright.plans.hooks import Manager, MissingHook, Veto, accepts, first_compatible, fold_all, fold_shared, managers, run_on_all, run_or_default
+from tidewright.plans.phases import HookPhase
 from tidewright.schema import ENTRY
 
 
@@ -79,9 +81,9 @@ def test_states_and_results(spark):
     assert [x[0] for x in one(spark, [("7",), ("0",), ("x",), (None,)], "a string", D.retry_after(F.col("a")))] == [7.0, 5.0, 5.0, 5.0]
 
 
-class P:
+class P(HookPhase):
     def __init__(self, id, depends_on=(), check=None):
-        self.id, self.depends_on, self.settings_check = id, depends_on, check
+        super().__init__(id, depends_on=depends_on, settings_check=check)
 
 
 def test_tags():
@@ -93,6 +95,16 @@ def test_tags():
     assert deep["a"] != first["a"] and deep["b"] != first["b"] and deep["x"] == first["x"]
     narrow = [P("a", (), ["model"])]
     assert G.resolve_tags({"a": {"model": "m", "z": 1}}, narrow) == G.resolve_tags({"a": {"model": "m"}}, narrow)
+    assert G.relevant_settings({"model": 1, "m": 2}, "model") == {"model": 1} and G.relevant_settings([1], ["a"]) == {}
+
+    class Own(P):
+        def tag(self, settings=None):
+            return "mine"
+
+    assert G.resolve_tags({}, [Own("a"), P("a")]) == {"a": G.compose_tag("mine", (), {})}  # its own tag counts, and the first of equal ids
+    assert G.current_tag({}, [P("a", ("a",))], "a") == G.fallback_tag("a", None, ("a",))
+    assert HookPhase("a", marker=lambda: None).tag({"x": 1}) == G.own_tag("a", "a:unknown")
+    assert HookPhase("a", marker=lambda: 1 / 0).tag() == G.own_tag("a", "a:-:")
     with pytest.raises(G.TagCycleError, match="a -> b -> a"):
         G.resolve_tags({}, [P("a", ("b",)), P("b", ("a",))])
     with pytest.raises(G.TagError, match="nothing"):
@@ -125,3 +137,32 @@ def test_split_keeps_words_and_budget(parts, budget):
 
 def test_split_without_budget():
     assert split_text("a  b", 0) == ["a  b"]
+
+
+def test_hooks():
+    system, agent = Manager("system"), Manager("agent")
+    system.add("h", lambda v: v + "s").add("h", lambda v, lizard=None: None)
+    agent.add("h", lambda v, **k: v + "a" + k.get("cat", ""), 5)
+    assert fold_all(managers(system, agent), "h", "x", caller="!") == "xsa!" and fold_shared(system, agent, "h", "x") == "xas"
+    assert managers(system, system) == [system] and managers(None, agent) == [agent]
+    agent.add("h", lambda v: 1 / 0)
+    assert agent.fold("h", "x") == "xa"  # a failure is logged
+    system.add("veto", lambda v: (_ for _ in ()).throw(Veto("no")))
+    with pytest.raises(Veto):
+        system.fold("veto", 1)
+    with pytest.raises(MissingHook):
+        system.run("nothing")
+    assert run_or_default(system, "nothing", default=7) == 7 and run_or_default(None, "h", default=8) == 8
+    with pytest.raises(ZeroDivisionError):
+        run_on_all([system, agent], "h", "x")
+    assert run_on_all([system], "h", "x", default=0) == "xs"
+    assert accepts(lambda cat: 0, "cat") and accepts(lambda **k: 0, "cat") and not accepts(lambda c: 0, "cat")
+    marks = Manager("agent").add("m", lambda a, b: 1).add("m", lambda a: a + "!")
+    assert first_compatible(marks, "m", "p") == "p!" and first_compatible(marks, "m", default=3) == 3
+    assert HookPhase("p", owner=Manager("agent").add("ingestion_phase_settings_marker", lambda phase: phase * 2)).tag() == G.own_tag("p", "pp")
+
+
+def test_configuration():
+    c = EngineConfig.load({}, env={"TIDEWRIGHT_BOOT": "9", "TIDEWRIGHT_WORKERS": "2", "TIDEWRIGHT_NICENESS": "5", "TIDEWRIGHT_SWEEP": "60", "TIDEWRIGHT_RESUME_ENABLED": "off", "TIDEWRIGHT_LOCK": "nan"})
+    assert (c.boot_threshold, c.pool, c.sweep_every, c.resume, c.lock_timeout) == (9.0, "tidewright-5", 60.0, False, 300.0)
+    assert EngineConfig().pool is None and allowed_engines([]) == [EngineConfig] == allowed_engines([EngineConfig]) and EngineConfig.engine_class().__name__ == "Engine"

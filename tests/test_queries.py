@@ -1,7 +1,7 @@
 import pytest
 from helpers import SF, same
 
-from tidewright.queries import ORACLES, QUERIES
+from tidewright.catalogue import ORACLES, QUERIES
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))

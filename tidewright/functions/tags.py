@@ -46,37 +46,55 @@ def fallback_tag(phase: str, category: str | None, depends: Iterable[str]) -> st
     return compose_tag(own_tag(phase, declared_tag(phase, category, depends)), (), {})
 
 
-def relevant_settings(value: Any, check: Callable[[Any], Any] | Iterable[str] | None = None) -> Any:
-    """The part of the settings that a phase depends on: all, what a function makes of them, or some keys."""
+def relevant_settings(value: Any, check: Callable[[Any], Any] | Iterable[str] | str | None = None) -> Any:
+    """The part of the settings that a phase depends on: all, what a function makes of them, one key or some keys."""
     if check is None:
         return value
     if callable(check):
         return check(value)
-    return {k: value[k] for k in check if k in value} if isinstance(value, Mapping) else {}
+    keys = [check] if isinstance(check, str) else list(check)
+    return {k: value[k] for k in keys if k in value} if isinstance(value, Mapping) else {}
+
+
+def unresolved(waiting: Mapping[str, Any]) -> TagCycleError:
+    """The cycle among phases (id to phase) none of which can be resolved."""
+    path = [next(iter(waiting))]
+    while path[-1] not in path[:-1]:
+        path.append(next(d for d in waiting[path[-1]].depends_on if d in waiting))
+    return TagCycleError("phases depend on each other: " + " -> ".join(path[path.index(path[-1]) :]))
 
 
 def resolve_tags(settings: Mapping[str, Any], phases: Iterable[Any]) -> dict[str, str]:
-    """Tags of all phases (with id, depends_on, settings_check), dependencies first."""
-    by_id = {p.id: p for p in phases}
-    tags: dict[str, str] = {}
-
-    def visit(phase: str, path: tuple[str, ...]) -> str:
-        if phase in path:
-            raise TagCycleError("phases depend on each other: " + " -> ".join([*path[path.index(phase) :], phase]))
-        if phase not in by_id:
-            raise TagError(f"phase {path[-1]} depends on {phase}, which is not known")
-        if phase not in tags:
-            p = by_id[phase]
-            for d in p.depends_on:
-                visit(d, (*path, phase))
-            tags[phase] = compose_tag(own_tag(phase, relevant_settings(settings.get(phase, {}), p.settings_check)), p.depends_on, tags)
-        return tags[phase]
-
-    for phase in by_id:
-        visit(phase, ())
+    """Tags of all phases, a fold from those without dependencies on. A phase
+    says its own tag (tag(settings)); of equal ids the first counts; a phase
+    without settings has empty ones."""
+    waiting: dict[str, Any] = {}
+    for p in phases:
+        waiting.setdefault(p.id, p)
+    known, tags = set(waiting), {}
+    for p in waiting.values():
+        if lost := [d for d in p.depends_on if d not in known]:
+            raise TagError(f"phase {p.id} depends on {lost[0]}, which is not known")
+    while waiting:
+        ready = [p for p in waiting.values() if all(d in tags for d in p.depends_on)]
+        if not ready:
+            raise unresolved(waiting)
+        for p in ready:
+            tags[p.id] = compose_tag(p.tag(settings.get(p.id, {})), p.depends_on, tags)
+            del waiting[p.id]
     return tags
 
 
+def current_tag(settings: Mapping[str, Any], phases: Iterable[Any], phase: str) -> str:
+    """The tag of one phase; where the graph has no tags, one of its declaration."""
+    phases = list(phases)
+    try:
+        return resolve_tags(settings, phases)[phase]
+    except TagError:
+        p = next(p for p in phases if p.id == phase)
+        return fallback_tag(p.id, getattr(p, "settings_category", None), p.depends_on)
+
+
 def own_tag_column(kind: Column, canonical: Column) -> Column:
     return F.sha2(F.concat(kind, F.lit(":"), canonical), 256)
 

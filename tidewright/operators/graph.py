@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from typing import Any
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from ..functions.diary import is_stale, phase_state
@@ -87,58 +87,88 @@ def depths(specs: DataFrame, limit: int = 64) -> DataFrame:
     )
 
 
-def _dependencies(specs: DataFrame) -> DataFrame:
-    return F.broadcast(specs.select(F.col("id").alias("phase"), F.posexplode("depends_on").alias("dep_pos", "dep")))  # the graph is a handful of rows
+def _literal(text: str | None) -> str:
+    return "null" if text is None else "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _graph(specs: DataFrame) -> tuple[list[Row], str]:
+    """The phases, dependencies first, and the same as an SQL array. The graph is a handful of rows."""
+    rows = specs.select("id", "pos", "depends_on").orderBy("pos").collect()
+    rows = dependency_ordered(rows)
+    one = lambda r: f"named_struct('id', {_literal(r.id)}, 'deps', cast(array({', '.join(map(_literal, r.depends_on or ()))}) as array<string>))"
+    return rows, f"array({', '.join(map(one, rows))})"
+
+
+def _by_source(sources: DataFrame, diary: DataFrame, key: list[str], *more: DataFrame) -> DataFrame:
+    """(key, m): each wanted source with its diary as a map of phase to entry,
+    in one aggregation by key. more: (key, phase) rows, collected as g0, g1 and so on."""
+    kind = diary.schema["entry"].dataType
+    flags = [F.lit(None).cast("string").alias(f"_g{i}") for i in range(len(more))]
+    none, no = F.lit(None).cast("string").alias("phase"), F.lit(None).cast(kind).alias("entry")
+    rows = sources.select(*key, none, no, F.lit(True).alias("_w"), *flags)
+    rows = rows.union(diary.select(*key, "phase", "entry", F.lit(False).alias("_w"), *flags))
+    for i, m in enumerate(more):
+        rows = rows.union(m.select(*key, none, no, F.lit(False).alias("_w"), *[F.col("phase").alias("_g") if j == i else f for j, f in enumerate(flags)]))
+    pairs = F.collect_list(F.when(F.col("phase").isNotNull(), F.struct("phase", "entry")))
+    return rows.groupBy(*key).agg(F.bool_or("_w").alias("_w"), F.map_from_entries(pairs).alias("m"), *[F.collect_set(f"_g{i}").alias(f"g{i}") for i in range(len(more))]).where("_w").drop("_w")
+
+
+def _offenders(sources: DataFrame, specs: DataFrame, diary: DataFrame, key: list[str], deep: bool) -> DataFrame:
+    """(key, phase, state, reason): for phases without an entry the first of
+    their dependencies, as declared, that failed or was skipped; deep: phases
+    that get an entry in this way stop those that depend on them."""
+    _, graph = _graph(specs)
+    states = F.transform_values("m", lambda _, e: phase_state(e)).alias("s")
+    rows = _by_source(sources, diary, key).select(*key, states)
+    seen = "a.s" if deep else "s"
+    fold = f"""aggregate({graph}, named_struct('s', s, 'out', cast(array() as array<struct<phase: string, dep: string, state: string>>)), (a, p) ->
+      if(map_contains_key(a.s, p.id), a, transform(array(get(filter(p.deps, d -> coalesce({seen}[d] in ('error', 'skipped'), false)), 0)), d ->
+        if(d is null, a, named_struct('s', map_concat(a.s, map(p.id, {seen}[d])), 'out', concat(a.out, array(named_struct('phase', p.id, 'dep', d, 'state', {seen}[d]))))))[0]), a -> a.out)"""
+    found = rows.select(*key, F.explode(F.expr(fold)).alias("o"))
+    return found.select(*key, F.col("o.phase").alias("phase"), F.col("o.state").alias("state"), F.concat(F.lit("dependency "), F.col("o.dep"), F.lit(" is "), F.col("o.state")).alias("reason"))
 
 
 def first_offender(sources: DataFrame, specs: DataFrame, diary: DataFrame, key: list[str] | None = None) -> DataFrame:
     """(key, phase, state, reason): for each phase without an entry the first of
     its dependencies, as declared, that failed or was skipped."""
-    key = key or list(KEY)
-    wanted = sources.select(*key).distinct().join(_dependencies(specs)).join(diary.select(*key, "phase").distinct(), [*key, "phase"], "left_anti")
-    state = diary.select(*key, F.col("phase").alias("dep"), phase_state(F.col("entry")).alias("dep_state"))
-    bad = wanted.join(state, [*key, "dep"]).where("dep_state in ('error', 'skipped')")
-    first = bad.groupBy(*key, "phase").agg(F.min_by(F.struct("dep", "dep_state"), "dep_pos").alias("f"))
-    return first.select(*key, "phase", F.col("f.dep_state").alias("state"), F.concat(F.lit("dependency "), F.col("f.dep"), F.lit(" is "), F.col("f.dep_state")).alias("reason"))
+    return _offenders(sources, specs, diary, key or list(KEY), False)
 
 
 def propagate(sources: DataFrame, specs: DataFrame, diary: DataFrame, key: list[str] | None = None) -> DataFrame:
     """diary (key, phase, entry) with entries for all phases that a failed or
-    skipped dependency stops, directly or not. As many passes as the graph is deep."""
+    skipped dependency stops, directly or not: one fold along the graph in each source's row."""
     key = key or list(KEY)
-    n = specs.count()
-    cols = [*key, "phase", "entry"]
-    diary = diary.select(*cols)
-    kind = diary.schema["entry"].dataType
-    for _ in range(n):
-        more = first_offender(sources, specs, diary, key)
-        entry = F.struct(*[(F.col("state") if f.name == "state" else F.col("reason") if f.name == "reason" else F.lit(None)).cast(f.dataType).alias(f.name) for f in kind.fields])
-        diary = diary.unionByName(more.select(*key, "phase", entry.alias("entry")))
-    return diary
+    diary = diary.select(*key, "phase", "entry")
+    more = _offenders(sources, specs, diary, key, True)
+    entry = F.struct(*[(F.col("state") if f.name == "state" else F.col("reason") if f.name == "reason" else F.lit(None)).cast(f.dataType).alias(f.name) for f in diary.schema["entry"].dataType.fields])
+    return diary.unionByName(more.select(*key, "phase", entry.alias("entry")))
 
 
 def pending(sources: DataFrame, specs: DataFrame, diary: DataFrame, tags: DataFrame, abandoned: DataFrame | None = None, inputs: DataFrame | None = None) -> DataFrame:
     """(key, phase, pos) of the phases that must run. tags: (phase, current_tag);
     abandoned: (key, phase); inputs: (phase, marker, marker_known,
-    settings_version) as they are now, for entries that have no tag."""
-    spark = sources.sparkSession
-    key = list(KEY)
-    grid = sources.select(*key).distinct().join(F.broadcast(specs.select(F.col("id").alias("phase"), "pos")))
-    rows = grid.join(diary.select(*key, "phase", "entry"), [*key, "phase"], "left").join(F.broadcast(tags), "phase", "left")
-    inputs = inputs if inputs is not None else spark.createDataFrame([], "phase string, marker string, marker_known boolean, settings_version string")
-    rows = rows.join(F.broadcast(inputs), "phase", "left")
-    state = diary.select(*key, F.col("phase").alias("dep"), phase_state(F.col("entry")).alias("dep_state"), F.col("entry.marker").alias("dep_marker"))
-    own = diary.select(*key, "phase", F.col("entry.deps").alias("deps"))
-    dep = sources.select(*key).distinct().join(_dependencies(specs)).join(state, [*key, "dep"], "left").join(own, [*key, "phase"], "left")
-    differs = F.expr("deps is not null and map_contains_key(deps, dep) and not deps[dep] <=> dep_marker")
-    blocked = dep.groupBy(*key, "phase").agg(F.bool_or(F.expr("dep_state is null or dep_state in ('processing', 'error', 'skipped')")).alias("blocked"), F.bool_or(differs).alias("deps_differ"))
-    rows = rows.join(blocked, [*key, "phase"], "left")
-    gone = F.lit(False)
-    if abandoned is not None:
-        rows = rows.join(abandoned.select(*key, "phase").distinct().withColumn("_gone", F.lit(True)), [*key, "phase"], "left")
-        gone = F.col("_gone").isNotNull()
-    stale = is_stale(F.col("entry"), F.col("blocked"), F.col("current_tag"), gone, F.col("deps_differ"), F.col("marker"), F.col("marker_known"), F.col("settings_version"))
-    return rows.where(stale).select(*key, "phase", "pos")
+    settings_version) as they are now, for entries that have no tag. A source's
+    entries are gathered once; every phase is judged in its row."""
+    key, (phases, _) = list(KEY), _graph(specs)
+    tag = {r.phase: r.current_tag for r in tags.select("phase", "current_tag").collect()}  # as many rows as phases
+    now = {} if inputs is None else {r.phase: r for r in inputs.collect()}
+    rows = _by_source(sources, diary, key, *([] if abandoned is None else [abandoned]))
+    gone = F.lit(False) if abandoned is None else None
+    found = []
+    for p in phases:
+        e, n = F.col("m")[p.id], now.get(p.id)
+        deps = p.depends_on or []
+        blocked, differs = F.lit(False), F.lit(False)
+        for d in deps:
+            blocked = blocked | (phase_state(F.col("m")[d]) != "complete")
+            differs = differs | F.coalesce(F.map_contains_key(e["deps"], d) & ~e["deps"][d].eqNullSafe(F.col("m")[d]["marker"]), F.lit(False))
+        lost = gone if gone is not None else F.array_contains("g0", p.id)
+        text = lambda v: F.lit(v).cast("string")
+        stale = is_stale(e, blocked, text(tag.get(p.id)), lost, differs, text(n and n.marker), F.lit(n and n.marker_known).cast("boolean"), text(n and n.settings_version))
+        found.append(F.when(stale, F.struct(F.lit(p.id).alias("phase"), F.lit(p.pos).alias("pos"))))
+    if not found:
+        return sources.select(*key, F.lit("").alias("phase"), F.lit(0).alias("pos")).limit(0)
+    return rows.select(*key, F.explode(F.filter(F.array(*found), lambda x: x.isNotNull())).alias("p")).select(*key, "p.phase", "p.pos")
 
 
 def uninstalled(diary: DataFrame, specs: DataFrame) -> DataFrame:

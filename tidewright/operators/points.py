@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import catalogue_card_id
@@ -51,3 +51,16 @@ def embedding_gate(points: DataFrame, key: list[str]) -> DataFrame:
 def image_files(points: DataFrame) -> DataFrame:
     """(agent_id, source, image_file) of derived images; the source's own file is not among them."""
     return points.where("image and image_file is not null").select("agent_id", "source", "image_file").distinct()
+
+
+def image_points(contents: DataFrame, when: float) -> DataFrame:
+    """Points without a vector for the images of contents (key, images array<string>): one for each file."""
+    chat = F.when(F.col("scope") != "agent", F.col("scope"))
+    rows = contents.select("agent_id", F.when(F.col("scope") == "agent", "declarative").otherwise("episodic").alias("collection"), "source", chat.alias("chat_id"), F.posexplode("images").alias("chunk_index", "image_file"))
+    made = F.sha2(F.concat_ws("\u001f", "agent_id", "collection", "chat_id", "source", F.lit("image"), "image_file"), 256)
+    return rows.select("agent_id", "collection", F.left(made, F.lit(32)).alias("point_id"), "source", "chat_id", F.lit("").alias("page_content"), F.lit(when).alias("when"), F.lit(True).alias("image"), "image_file", "chunk_index", F.lit(None).cast("array<float>").alias("vector"))
+
+
+def point_meta(metadata: Column) -> Column:
+    """The metadata of a point; none is an empty map."""
+    return F.coalesce(metadata, F.create_map().cast("map<string,string>"))

@@ -69,3 +69,13 @@ def split_oversized(docs: DataFrame, budget: int, doc_id: str = "doc_id", text:
     big = token_estimate(F.col("text")) > budget
     whole = d.where(~big).select("doc_id", F.lit(0).alias("chunk_ix"), F.col("text").alias("page_content"), F.lit(False).alias("was_split"))
     return whole.unionByName(d.where(big).mapInArrow(run, schema))
+
+
+def merge_short(chunks: DataFrame, least: int) -> DataFrame:
+    """(doc_id, chunk_ix, page_content, was_split): chunks joined with the next
+    ones, by a space, until they have `least` characters; the last may be
+    shorter. A document's chunks are folded in its own row."""
+    c = chunks.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("chunk_ix", "page_content"))).alias("c"), F.bool_or("was_split").alias("was_split"))
+    fold = f"""aggregate(c, cast(array() as array<string>), (a, x) -> if(size(a) > 0 and length(a[size(a) - 1]) < {int(least)},
+        concat(slice(a, 1, size(a) - 1), array(concat(a[size(a) - 1], ' ', x.page_content))), concat(a, array(x.page_content))))"""
+    return c.select("doc_id", "was_split", F.posexplode(F.expr(fold)).alias("chunk_ix", "page_content")).select("doc_id", "chunk_ix", "page_content", "was_split")

@@ -8,7 +8,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 
 #: Defaults in seconds.
-HEARTBEAT, LEASE, RESUME, NOT_READY, RETRY, DOWNLOAD = 30.0, 1800.0, 300.0, 3600.0, 5.0, 1800.0
+HEARTBEAT, LEASE, RESUME, NOT_READY, RETRY, DOWNLOAD, LOCK = 30.0, 1800.0, 300.0, 3600.0, 5.0, 1800.0, 300.0
 
 
 def number(value: object) -> float | None:
@@ -37,8 +37,17 @@ class EngineConfig:
     heartbeat: float = HEARTBEAT
     boot_stale: float | None = None
     download_stale: float = RESUME
+    #: Seconds after which the heartbeat of a download gives up, a claim may take a row over, and a lock is free again.
+    download_heartbeat: float = DOWNLOAD
+    claim_after: float = 0.0
+    lock_timeout: float = LOCK
+    #: Seconds between sweeps; none or 0 for no sweeps but the first.
+    sweep_every: float | None = None
     resume: bool = True
     collect_garbage: bool = True
+    #: Jobs run in a scheduler pool of their own where workers is above 0; niceness above 0 gives it a lower weight.
+    workers: int = 0
+    niceness: int = 0
 
     def __post_init__(self) -> None:
         if self.max_concurrency < 1:
@@ -51,6 +60,11 @@ class EngineConfig:
             return self.boot_stale
         return max(30.0, 2 * self.heartbeat) if self.heartbeat > 0 else 60.0
 
+    @property
+    def pool(self) -> str | None:
+        """The scheduler pool of the engine's jobs, if it has one."""
+        return f"tidewright-{self.niceness}" if self.workers > 0 else None
+
     @property
     def download_threshold(self) -> float:
         return max(self.boot_threshold, self.download_stale)
@@ -63,5 +77,19 @@ class EngineConfig:
             values.setdefault("max_concurrency", old)
         flag = lambda k: str(env.get(k, "true")).strip().lower() not in ("0", "false", "no", "off")
         pick = lambda k, d: x if (x := number(env.get(k))) is not None else d
-        base = {"lease": pick("TIDEWRIGHT_LEASE", LEASE), "heartbeat": pick("TIDEWRIGHT_HEARTBEAT", HEARTBEAT), "download_stale": pick("TIDEWRIGHT_RESUME", RESUME), "resume": flag("TIDEWRIGHT_RESUME_ENABLED"), "collect_garbage": flag("TIDEWRIGHT_GC_ENABLED")}
+        base = {
+            "lease": pick("TIDEWRIGHT_LEASE", LEASE), "heartbeat": pick("TIDEWRIGHT_HEARTBEAT", HEARTBEAT), "download_stale": pick("TIDEWRIGHT_RESUME", RESUME), "boot_stale": pick("TIDEWRIGHT_BOOT", None), "download_heartbeat": pick("TIDEWRIGHT_DOWNLOAD", DOWNLOAD),
+            "claim_after": pick("TIDEWRIGHT_CLAIM_AFTER", 0.0), "lock_timeout": pick("TIDEWRIGHT_LOCK", LOCK), "sweep_every": pick("TIDEWRIGHT_SWEEP", None), "workers": int(pick("TIDEWRIGHT_WORKERS", 0.0)), "niceness": int(pick("TIDEWRIGHT_NICENESS", 0.0)), "resume": flag("TIDEWRIGHT_RESUME_ENABLED"), "collect_garbage": flag("TIDEWRIGHT_GC_ENABLED"),
+        }
         return cls(**(base | values))
+
+    @staticmethod
+    def engine_class() -> type:
+        from .engine import Engine
+
+        return Engine
+
+
+def allowed_engines(allowed: list[type]) -> list[type]:
+    """The configurations of engines that may be chosen, with this one."""
+    return allowed if EngineConfig in allowed else [*allowed, EngineConfig]

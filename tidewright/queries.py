@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .functions import diary as D
@@ -116,7 +116,17 @@ def q03_within_budget(spark, sf_dir):
     return d.select("doc_id", F.when(F.col("tok") > BUDGET, "split").otherwise("whole").alias("branch"), "tok")
 
 
-@query(None)
+@query(rf"""with recursive w as (select doc_id, coalesce(text, '') text, list_filter(regexp_split_to_array(coalesce(text, ''), '[\s\x0b\x0c\x1c-\x1f\x85\x{{a0}}\x{{1680}}\x{{2000}}-\x{{200a}}\x{{2028}}\x{{2029}}\x{{202f}}\x{{205f}}\x{{3000}}]+'), lambda x: x <> '') ws from documents),
+  u as (select doc_id, unnest(ws) word, generate_subscripts(ws, 1) p from w where greatest(1, length(text) // 3) > {BUDGET}),
+  s as (select doc_id, p, sum(length(word)) over (partition by doc_id order by p) c from u),
+  d as (select doc_id, list_concat([0], list(c::bigint order by p)) c, count(*) n from s group by doc_id),
+  b as (select *, greatest(1, trunc({BUDGET}::double * least(n, 200) / greatest(1, (c[least(n, 200) + 1] + least(n, 200) - 1) // 3)))::bigint wide from d),
+  step(doc_id, a, e) as (
+    select doc_id, 0::bigint, coalesce(list_max(list_filter(range(1, least(wide, n) + 1), lambda x: c[x + 1] + x - 1 <= 3 * {BUDGET} + 2)), 1) from b
+    union all
+    select b.doc_id, step.e, coalesce(list_max(list_filter(range(step.e + 1, least(step.e + wide, n) + 1), lambda x: c[x + 1] - c[step.e + 1] + x - step.e - 1 <= 3 * {BUDGET} + 2)), step.e + 1) from step join b using (doc_id) where step.e < n),
+  k as (select doc_id, count(*) n_chunks, max(greatest(1, (c[e + 1] - c[a + 1] + e - a - 1) // 3)) max_tok from step join b using (doc_id) group by doc_id)
+select w.doc_id, coalesce(n_chunks, 1) as n_chunks, coalesce(max_tok, greatest(1, length(text) // 3)) as max_tok, len(ws) as n_words from w left join k using (doc_id)""")
 def q04_split_chunks(spark, sf_dir):
     d = table(spark, sf_dir, "documents")
     chunks = split.split_oversized(d, BUDGET)
@@ -193,18 +203,22 @@ def q11_first_error(spark, sf_dir):
     return status.first_error(diary(spark, sf_dir)).select("source", "reason")
 
 
-@query(f"with {EV} select {SRC}, phase, count(*) filter (st = 'processing') as attempts from ev group by user_id, phase")
+@query("""with l as (select user_id, case when event_id % 2 = 0 then 'parsing_chunking' else 'embedding' end phase, lag(event_id % 7) over (partition by user_id, event_id % 2 order by event_id) before from events)
+select cast(user_id as varchar) as source, phase, max(coalesce(before, 0) + 1)::int as attempt from l group by user_id, phase""")
 def q12_attempts(spark, sf_dir):
-    return events(spark, sf_dir).groupBy("source", "phase").agg(F.count_if(F.col("entry.state") == "processing").alias("attempts"))
+    """The highest attempt that the entry after each of a log would have."""
+    e = table(spark, sf_dir, "events").select(F.col("user_id").cast("string").alias("source"), F.when(F.col("event_id") % 2 == 0, "parsing_chunking").otherwise("embedding").alias("phase"), "event_id", F.struct((F.col("event_id") % 7).cast("int").alias("attempt")).alias("e"))
+    before = F.lag("e").over(Window.partitionBy("source", "phase").orderBy("event_id"))
+    return e.withColumn("before", before).groupBy("source", "phase").agg(F.max(D.next_attempt(F.col("before"))).alias("attempt"))
 
 
 # keys, tags and the graph
 
 
-@query("select page_id, 'agents:a:ingestion:agent:' || sha256(url) as status_key, 'url_' || left(sha256(url), 16) as file_prefix from pages")
+@query("select page_id, 'agents:a:ingestion:agent:' || sha256(url) as status_key from pages")
 def q13_status_keys(spark, sf_dir):
     p = table(spark, sf_dir, "pages")
-    return p.select("page_id", X.status_key(F.lit("a"), F.lit("agent"), F.col("url")).alias("status_key"), F.left(X.persisted_url_name(F.col("url")), F.lit(20)).alias("file_prefix"))
+    return p.select("page_id", X.status_key(F.lit("a"), F.lit("agent"), F.col("url")).alias("status_key"))
 
 
 @query("""with own as (select doc_id, sha256('parsing_chunking:{"lang":"' || lang || '"}') p, sha256('embedding:{"source":"' || source || '"}') e from documents),
@@ -227,8 +241,6 @@ def q15_downstream(spark, sf_dir):
 @query(f"""with recursive {SPECS_SQL}, walk(id, depth) as (select id, 0 from specs union all select e.id, w.depth + 1 from walk w join edges e on e.dep = w.id)
 select s.id as phase, max(depth)::int as depth, row_number() over (order by max(depth), s.pos)::int as step from specs s join walk using (id) group by s.id, s.pos""")
 def q16_execution_order(spark, sf_dir):
-    from pyspark.sql import Window
-
     d = graph.depths(specs(spark))
     return d.select(F.col("id").alias("phase"), F.col("depth").cast("int").alias("depth"), F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("depth", "pos")).alias("step"))  # the graph's few rows
 
@@ -343,10 +355,12 @@ def q25_reconcile(spark, sf_dir):
     return lifecycle.reconcile(every, chats, files, web).select("source", "scope")
 
 
-@query("select p.page_id from pages p where not exists (select 1 from pages q where q.url = p.url and q.page_id % 2 = 0)")
+@query("select distinct url as source from pages p where not exists (select 1 from pages q where q.url = p.url and q.page_id % 2 = 0)")
 def q26_reconcile_urls(spark, sf_dir):
-    p = table(spark, sf_dir, "pages")
-    return p.join(p.where("page_id % 2 = 0").select("url").distinct(), "url", "left_anti").select("page_id")
+    p = table(spark, sf_dir, "pages").withColumns({"agent_id": F.lit("a"), "scope": F.lit("agent"), "source": F.col("url"), "status": F.lit("completed"), "type": F.lit("url")})
+    chats = spark.createDataFrame([], "agent_id string, chat_id string")
+    files = spark.createDataFrame([], "agent_id string, scope string, name string")
+    return lifecycle.reconcile(p, chats, files, p.where("page_id % 2 = 0").withColumn("collection", F.lit("declarative"))).select("source")
 
 
 @query(f"""with {ROWS} select source, "scope" from rows r where "scope" <> 'agent' and not exists (select 1 from conversations c where c.conv_id::varchar = r."scope")""")
@@ -399,16 +413,26 @@ def q34_stored_sources(spark, sf_dir):
     return points.stored_sources(pts(spark, sf_dir)).select("source", "chunks")
 
 
-@query("""with w as (select user_id, event_type, count(*) n, min(ts) first_ts, max(ts) last_ts from events group by 1, 2)
-select cast(user_id as varchar) as source, arg_max(event_type, (last_ts, event_type)) as status, epoch(min(first_ts)) as created_at, epoch(max(last_ts)) as updated_at from w group by user_id""")
+STATUS_OF = {"purchase": "completed", "click": "processing", "error": "error", "view": "processing"}
+
+
+@query("""with e as (select user_id, event_id i, epoch(ts) t, event_type y, case event_type when 'purchase' then 'completed' when 'click' then 'processing' when 'error' then 'error' when 'view' then 'processing' end st from events),
+  x as (select user_id, string_agg(y || '=' || v, ';' order by y) extra from (select user_id, y, max(i) v from e where i % 3 = 0 group by 1, 2) group by 1),
+  f as (select user_id, arg_max(st, i) filter (st is not null) status, arg_max({'e': case when y = 'error' then 'err ' || i end}, i) filter (st is not null) er, arg_max(t, i) filter (st = 'error') error_at, min(t) created_at, max(t) updated_at,
+    arg_max('p' || i % 4, i) filter (y = 'view') phase, max(i) filter (y = 'view') set_at, max(i) filter (y = 'purchase') cleared_at, arg_max('m' || i % 5, i) filter (y = 'click') embedder_name, arg_max(i % 2 = 0, i) filter (y = 'signup') rc from e group by user_id)
+select cast(user_id as varchar) as source, status, er.e as error, error_at, created_at, updated_at, case when coalesce(cleared_at >= set_at, false) then null else phase end as phase, embedder_name, case when status in ('completed', 'error') then null else rc end as resume_created, extra
+from f left join x using (user_id)""")
 def q35_status_fold(spark, sf_dir):
-    e = table(spark, sf_dir, "events")
-    none = lambda t="string": F.lit(None).cast(t)
-    log = e.select(
-        F.lit("a").alias("agent_id"), F.lit("agent").alias("scope"), F.col("user_id").cast("string").alias("source"), F.struct("ts", "event_type").alias("seq"), F.col("ts").cast("timestamp").cast("double").alias("ts"), F.lit("file").alias("type"), none().alias("chat_id"),
-        F.col("event_type").alias("status"), none().alias("error"), none().alias("phase"), F.lit(False).alias("clear_phase"), none().alias("embedder_name"), none().alias("chunker_name"), none("boolean").alias("resume_created"), none("map<string,string>").alias("extra"),
+    t, i = F.col("event_type"), F.col("event_id")
+    none = lambda kind="string": F.lit(None).cast(kind)
+    text = lambda head, c: F.concat(F.lit(head), c.cast("string"))
+    log = table(spark, sf_dir, "events").select(
+        F.lit("a").alias("agent_id"), F.lit("agent").alias("scope"), F.col("user_id").cast("string").alias("source"), i.alias("seq"), F.col("ts").cast("timestamp").cast("double").alias("ts"), F.lit("file").alias("type"), none().alias("chat_id"),
+        F.create_map(*[F.lit(x) for kv in STATUS_OF.items() for x in kv])[t].alias("status"), F.when(t == "error", text("err ", i)).alias("error"), F.when(t == "view", text("p", i % 4)).alias("phase"), (t == "purchase").alias("clear_phase"), F.when(t == "click", text("m", i % 5)).alias("embedder_name"),
+        none().alias("chunker_name"), F.when(t == "signup", i % 2 == 0).alias("resume_created"), F.when(i % 3 == 0, F.create_map(t, i.cast("string"))).alias("extra"),
     )
-    return status.fold_status(log).select("source", "status", "created_at", "updated_at")
+    extra = F.array_join(F.transform(F.array_sort(F.map_entries("extra")), lambda e: F.concat(e["key"], F.lit("="), e["value"])), ";")
+    return status.fold_status(log).select("source", "status", "error", "error_at", "created_at", "updated_at", "phase", "embedder_name", "resume_created", extra.alias("extra"))
 
 
 @query("""select 'a' as agent_id, label, md5(string_agg(vec_id::varchar, ',' order by vec_id)) as cards from embeddings where vec_id % 10 = 0 group by label""")

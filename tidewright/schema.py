@@ -23,7 +23,12 @@ POINTS = (
     "agent_id string, collection string, point_id string, payload_id string, source string, chat_id string, page_content string, hash string, `when` double, "
     "image boolean, image_file string, is_catalogue_card boolean, is_catalogue_card_segment boolean, chunk_index int, start_index int, extra map<string,string>, vector array<float>"
 )
-MARKERS = "agent_id string, kind string, expires_at double"
+#: Events of markers: the last one of an agent and kind counts, and cleared takes it away.
+MARKERS = "agent_id string, kind string, seq long, expires_at double, cleared boolean"
+#: Answers `not ready` of phases, starts and stops of heartbeats, and takings and releases of locks.
+WAITS = "agent_id string, scope string, source string, phase string, seq long, ts double, retry_after string, reason string"
+TIMERS = "agent_id string, scope string, source string, seq long, ts double, interval double, max_seconds double"
+LOCKS = "name string, owner string, seq long, ts double, ttl double"
 RESULT = f"source string, status string, reason string, processed int, expected int, warnings array<{WARNING}>"
 KEY = ("agent_id", "scope", "source")
 
