@@ -121,3 +121,21 @@ def test_pipeline_by_stages(spark, duck):
     four = c.STAGES[3][1](spark, docs, SF)
     assert four.columns == docs.columns
     assert c.STAGES[4][1](spark, docs, SF).count() == docs.count()
+
+
+def test_stages_on_odd_tables(spark):
+    import corpus_pipeline as c
+
+    ddl = "doc_id long, text string, lang string, source string, n_chars long, copy string, mix_key int, _id int, g string"
+    rows = [(1, None, "en", None, 0, "c", 1, 2, "g"), (2, "", "en", "s", 0, "c", 1, 2, "g"), (3, "x@y.org " * 30, "en", "s", 0, "c", 1, 2, "g"), (3, "x@y.org " * 30, "en", "s", 0, "c", 1, 2, "g"), (None, "a b c", "en", "s", 0, None, None, None, None)]
+    d = spark.createDataFrame(rows, ddl)
+    for name, stage in c.STAGES[:-1]:
+        out = stage(spark, d, SF)
+        assert out.columns == d.columns, name
+        got = out.collect()
+        assert name == "mixing" or {r.doc_id for r in got} == {1, 2, 3, None}
+        assert all(r.copy == "c" for r in got if r.doc_id is not None)
+        assert stage(spark, d.limit(0), SF).count() == 0
+    assert [r.n_chars for r in c.STAGES[2][1](spark, d, SF).where("doc_id = 1").collect()] == [None]
+    last = c.STAGES[-1][1]
+    assert sorted((r.n_tokens for r in last(spark, d, SF).collect()))[:2] == [0, 0] and last(spark, d.limit(0), SF).count() == 0

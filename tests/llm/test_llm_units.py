@@ -67,6 +67,55 @@ def test_boosted_trees_learn_a_rule():
     assert not m.takes(0, 1)
 
 
+def wide(kind, text):
+    """Candidates by Python's own engine: (start, end, text, before, after)."""
+    body = pii.WIDE[kind].replace(r"(?:\G|(?<![A-Za-z0-9._%+-]))", "")
+    start = r"(?<![A-Za-z0-9._%+-])" if kind == "email" else ""
+    at, out, found = 0, [], re.compile(start + body, re.A)
+    here = re.compile(body, re.A) if kind == "email" else None
+    while m := (here.match(text, at) if here else None) or found.search(text, at):
+        c = m[0].rstrip(pii.TAIL.get(kind, "")) if kind in pii.TAIL else m[0]
+        out.append((m.start(), m.start() + len(c), c))
+        at = m.end()
+    return out
+
+
+def bits(kind, text, a, b, c, before):
+    digits = sum(x in "0123456789" for x in c)
+    pre, post = text[max(before, a - 16, 0) : a], text[b : b + 4]
+    f = [
+        c.startswith("+"), re.search("[ -]", c), "(" in c, re.search(r"(?s)[.].*[.].*[.]", c) and re.search(r"[.][^\n]*[.][^\n]*[.]", c), digits >= 8, digits >= 10, digits >= 14, digits == 16, digits > 16,
+        re.search("[0-9]", c) and re.search("[A-Za-z]", c), not re.search("[^0-9a-f]", c), re.search(r"[.][A-Za-z]{2,}$", c), re.search(pii.WORDS, pre.lower()), re.search("[0-9A-Za-z]$", pre), re.search("^[0-9A-Za-z]", post), len(c) >= 32,
+    ]
+    return sum(1 << i for i, x in enumerate(f) if x) & ~pii.MASK.get(kind, 0)
+
+
+def test_added_spans_against_brute_force(spark):
+    from test_llm_queries import base
+
+    from helpers import SF
+
+    d = spark.read.parquet(f"{SF}/documents.parquet")
+    model = pii.fit(spark.read.parquet(f"{SF.replace('0.001', '0.01')}/documents.parquet"), precision=0.6)
+    more = [(10_000, "call (017) 555-7713 now, token = \"" + "0a" * 65 + "\" and 1.2.3.4.5 or 4111.1111.1111.1111 or joe at x"), (10_001, "a" * 300 + " " + "7 " * 200)]
+    d = d.select("doc_id", "text").union(spark.createDataFrame(more, "doc_id long, text string"))
+    added = 0
+    for r in pii.find(d, model).select("doc_id", "text", F.expr(pii.spans_text("spans")).alias("spans")).collect():
+        own = base(r.text)
+        taken = {k: [(int(a), int(b)) for kk, a, b in (x.split(":") for x in own) if kk == k] for k in pii.KINDS}
+        want = set(own)
+        for k, kind in enumerate(pii.KINDS):
+            last = 0
+            for a, b, c in wide(kind, r.text):
+                if model.takes(k, bits(kind, r.text, a, b, c, last)) and not any(x < b and a < y for x, y in taken[kind]):
+                    want.add(f"{kind}:{a}:{b}")
+                    added += 1
+                last = b if kind not in pii.TAIL else b + len(r.text[b:]) - len(r.text[b:].lstrip(pii.TAIL[kind]))
+        assert set(r.spans.split(",")) - {""} == want, r.doc_id
+    assert added > 3
+    assert pii.KINDS.index("secret") in model.thresholds and model.takes(4, bits("secret", "x", 0, 0, "0a" * 65, 0))
+
+
 # op 2
 
 
@@ -89,6 +138,35 @@ def test_top_k_with_ties_and_bad_rows(spark):
     assert topk.top_k(df.limit(0), df, k=5).count() == 0
 
 
+def test_top_k_of_negative_large_and_double_vectors(spark):
+    down = spark.createDataFrame([(0, [1.0], 7)] + [(i, [-i / 64], 7) for i in range(1, 61)], "vec_id long, embedding array<float>, least int").withColumn("grp", F.lit("x"))
+    got = [(r.rank, r.vec_id, r.score) for r in topk.top_k(down, down.where("vec_id = 0")).orderBy("rank").collect()]
+    assert got == [(i, i, -64 * i) for i in range(1, 21)]
+    assert topk.scaled(np.array([5e6])).tolist() == [320_000_000.0]
+    rng = np.random.default_rng(9)
+    for scale in (5e6, 1e11, 1e200):
+        x = rng.normal(size=(40, 5)) * scale
+        df = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)], "vec_id long, embedding array<double>")
+        whole = [[int(np.floor(64 * v)) for v in r] for r in x]
+        got = topk.top_k(df, df.where("vec_id % 20 = 0"), k=6).collect()
+        for q in (0, 20):
+            score = {i: max(-topk.LONG, min(topk.LONG, sum(a * b for a, b in zip(whole[q], whole[i], strict=True)))) for i in range(40) if i != q}
+            want = sorted(score.items(), key=lambda p: (-p[1], p[0]))[:6]
+            assert [(r.vec_id, r.score) for r in sorted(got, key=lambda r: r.rank) if r.query_id == q] == want
+
+
+def test_blocks_that_cannot_meet_go(spark, monkeypatch):
+    monkeypatch.setattr(topk, "ROW_BLOCK", 16)
+    monkeypatch.setattr(topk, "QUERY_BLOCK", 4)
+    rng = np.random.default_rng(10)
+    x = np.repeat(rng.normal(size=(8, 1)) * 5, 32, 0) + rng.normal(size=(256, 8)) * 0.05
+    df = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)], "vec_id long, embedding array<float>")
+    got = {}
+    for r in sorted(topk.top_k(df, df.where("vec_id % 20 = 0"), k=5).collect(), key=lambda r: (r.query_id, r.rank)):
+        got.setdefault(r.query_id, []).append((r.vec_id, r.score))
+    assert got == brute_top(list(range(256)), x.astype(np.float32), range(0, 256, 20), 5)
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.integers(0, 10_000))
 def test_segment_bounds_hold(seed):
@@ -140,6 +218,33 @@ def test_toxicity_edges(spark):
     assert kept.columns == d.columns
 
 
+def test_scores_against_brute_force(spark):
+    import math
+
+    from helpers import SF
+
+    d = spark.read.parquet(f"{SF}/documents.parquet")
+    more = SF.replace("0.001", "0.1")
+    m = toxicity.fit(spark.read.parquet(f"{more}/documents.parquet"), spark.read.parquet(f"{more}/labels.parquet"))
+    assert m.word and m.stem
+    seen = 0
+    for r in d.join(toxicity.score(d, m), "doc_id").collect():
+        tokens = toxicity.words((r.text or "").lower())
+        if len(tokens) > 90:
+            continue
+        a = [m.word[t] if t in m.word else m.stem.get(t[: toxicity.STEM], -toxicity.DRIFT) if t not in m.known else -toxicity.DRIFT for t in tokens]
+        limit = math.log(m.k * max(1, len(a)))
+        good = [(i, j, m.lam * sum(a[i : j + 1]) - limit) for i, j in brute_segments(a, 0, len(a))]
+        good = [g for g in good if g[2] > 1e-9]
+        assert [(p.first, p.last) for p in r.passages if p.evidence > 1e-9] == [g[:2] for g in good]
+        assert abs(r.score - 1 / (1 + math.exp(-max(-50, min(50, m.base + m.slope * sum(g[2] for g in good)))))) < 1e-9
+        seen += 1
+    assert seen > 20
+    assert toxicity.Model({}, {"clas": 3.0}, known=frozenset({"class"})).segments("class")[1] == []
+    both = toxicity.maximal_segments([(0, 2.0), (1, -5.0), (2, 1.0)])
+    assert [x[:2] for x in both] == [(0, 0), (2, 2)]
+
+
 # op 4
 
 
@@ -152,6 +257,10 @@ def test_mixing_reaches_its_weights(spark):
     again = mixing.mix_sources(d.repartition(7), w, total=40_000)
     assert out.agg(F.sum(F.xxhash64("doc_id", "copy").cast("decimal(38,0)"))).first() == again.agg(F.sum(F.xxhash64("doc_id", "copy").cast("decimal(38,0)"))).first()
     assert mixing.mix_sources(d.limit(0)).count() == 0
+    lost = spark.createDataFrame([(None, "s", 1, 2), (None, "s", 1, 2)], "doc_id long, source string, copy int, mix_key int")
+    twice = mixing.mix_sources(lost, total=60)
+    assert twice.columns == [*lost.columns, "copy_", "mix_key_"] and 2 * twice.where("copy_ = 1").count() in (0, 4)
+    assert twice.groupBy("mix_key_").count().select("count").distinct().collect() in ([], [(2,)])
     assert mixing.mix_sources(d, w.withColumn("weight", F.lit(-1.0))).count() == 0
 
 
@@ -216,6 +325,13 @@ def test_url_rules_and_parts(spark):
     assert [(out[i].host, out[i].path, out[i].rule, out[i].verdict) for i in range(len(urls))] == want
 
 
+def test_urls_of_empty_and_repeated_pages(spark):
+    pages = spark.createDataFrame([(1, "http://a.org/es/"), (1, "http://a.org/es/"), (None, None)], "page_id long, url string")
+    none = spark.createDataFrame([], "page_id long, bad int")
+    assert sorted(r.verdict for r in url_reputation.filter_urls(pages, none).collect()) == ["allow", "block", "block"]
+    assert url_reputation.filter_urls(pages.limit(0), none).count() == 0
+
+
 def test_reputation_blocks_bad_hosts_and_shrinks(spark):
     pages = spark.createDataFrame([(i, f"http://h{i % 10}.dom{i % 2}.test/x") for i in range(2000)], "page_id long, url string")
     bad = spark.createDataFrame([(i, int(i % 10 == 3 or i % 97 == 0)) for i in range(1000)] + [(None, 1), (5, None)], "page_id long, bad int")
@@ -248,6 +364,8 @@ def test_codec_trees_fit_the_library():
 def test_encode_and_decode_tables(spark):
     import public_tokenizers as P
 
+    assert bpe.round_trip(docs(spark, TEXTS).limit(0), P.path("byte_bpe_multi_50k.tiktoken"), P.PATTERN).count() == 0
+
     d = docs(spark, TEXTS)
     ids = bpe.encode(d, P.path("byte_bpe_multi_50k.tiktoken"), P.PATTERN)
     back = bpe.decode(ids, P.path("byte_bpe_multi_50k.tiktoken"), P.PATTERN)
@@ -324,6 +442,107 @@ def test_jaccard_against_brute_force(spark, monkeypatch):
     assert sorted(i for i in ids if i is not None) == sorted({c for _, c in want.values()}) and ids.count(None) == 1
 
 
+def thue_morse(n=1024):
+    word = "".join("ab"[bin(i).count("1") % 2] for i in range(n))
+    return word, word.translate({97: 98, 98: 97})
+
+
+def test_words_that_a_polynomial_confuses(spark):
+    import pyarrow as pa
+
+    a, b = thue_morse()
+    for n in (48, 1024):
+        texts = [" ".join([w[:n]] * 13) for w in (a, b)]
+        data, offsets = hashing.text_column(pa.array(texts))
+        w, w2, row = jaccard.shingle_sets(data, offsets)
+        for lane in (w, w2):
+            assert not set(lane[row == 0].tolist()) & set(lane[row == 1].tolist())
+    out = substring.dedup_substrings(spark.createDataFrame([(1, " ".join([a] * 13)), (2, " ".join([b] * 13)), (3, " ".join([a] * 14))], "doc_id long, text string")).collect()
+    assert {r.doc_id: r.n_removed for r in out} == {1: 0, 2: 0, 3: 14}
+
+
+def sets_of(seed, clusters=6, size=40, n=400):
+    """Clusters of near copies of random sets, as sketches, with the sets."""
+    rng = np.random.default_rng(seed)
+    sets = []
+    for _ in range(clusters):
+        base = rng.integers(0, 1 << 62, n)
+        for _ in range(size):
+            s = base.copy()
+            s[rng.integers(0, n, rng.integers(0, 70))] = rng.integers(0, 1 << 62, 1)[0] + np.arange(1)
+            sets.append(np.unique(np.concatenate([s, rng.integers(0, 1 << 62, rng.integers(0, 40))])))
+    n = np.array([len(s) for s in sets])
+    flat, row = np.concatenate(sets).astype(np.uint64), np.repeat(np.arange(len(sets)), n)
+    data, ends = jaccard.sketches(flat, row, n)
+    return sets, n, [data[ends[i] : ends[i + 1]].tobytes() for i in range(len(sets))]
+
+
+def test_triangle_inequality_rules_pairs_out_and_loses_none():
+    sets, n, sketch = sets_of(3)
+    i, j = jaccard.candidates(sketch, n, np.arange(len(n)))
+    found = set(zip(i.tolist(), j.tolist(), strict=True))
+    for a in range(len(sets)):
+        for b in range(a + 1, len(sets)):
+            both = len(np.intersect1d(sets[a], sets[b]))
+            if 100 * both >= 75 * (n[a] + n[b] - both):
+                assert (a, b) in found
+    bits = min(map(len, sketch))
+    s = np.stack([np.bitwise_xor.reduce(np.frombuffer(x, np.uint64).reshape(-1, bits // 8), axis=0) for x in sketch])
+    x, y, work = jaccard.voronoi_pairs(s, n, np.arange(len(n)), np.ones(len(n), bool))
+    assert work < 0.6 * len(n) ** 2  # the others were ruled out by distances to pivots
+    h = jaccard._hamming(s, s)
+    want = {(a, b) for a in range(len(n)) for b in range(len(n)) if a != b and h[a, b] <= (n[a] + n[b]) // 7 and 100 * min(n[a], n[b]) >= 75 * max(n[a], n[b])}
+    assert {tuple(p) for p in zip(x.tolist(), y.tolist(), strict=True)} == want
+
+
+def test_stars_cover_and_end():
+    rng = random.Random(4)
+    i, j = zip(*sorted({tuple(sorted(rng.sample(range(30), 2))) for _ in range(150)}), strict=True)
+    i, j = np.array(i), np.array(j)
+    degree = np.bincount(np.concatenate([i, j]), minlength=30)
+    for cover in (1, 4, 16, 64):
+        c = jaccard.stars(i, j, 30, cover)
+        got = np.bincount(np.concatenate([i[c], j[c]]), minlength=30)
+        assert (got >= np.minimum(cover, degree)).all() and c.sum() <= 2 * cover * 30
+    assert c.all()
+
+
+def test_jaccard_of_large_cells_and_repeated_ids(spark, monkeypatch):
+    from test_llm_queries import components
+
+    monkeypatch.setattr(jaccard, "CELL", 6)
+    monkeypatch.setattr(jaccard, "FREQUENT", 8)
+    monkeypatch.setattr(jaccard, "STAR", 3)
+    rng = random.Random(12)
+    base = [f"w{i}" for i in range(60)]
+    texts = []
+    for i in range(40):
+        w = list(base)
+        for _ in range(rng.choice([1, 1, 2, 5])):
+            w[rng.randrange(60)] = f"x{rng.randrange(400)}"
+        texts.append((i, " ".join(w)))
+    texts += [(100 + i, t) for i, t in enumerate(["z" * 3000, "z" * 3000 + " y", "A a", "a A"])]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.jaccard_components(docs(spark, texts)).collect()}
+    assert got == components(dict(texts))
+    twice = docs(spark, [*texts[-4:], (7, "second"), (7, "first"), (7, None)]).withColumns({"_id": F.col("doc_id"), "g": F.lit(1), "d": F.lit(2)})
+    kept = jaccard.keep_one(twice)
+    assert kept.columns == twice.columns
+    rows = {r.doc_id: r.text for r in kept.collect()}
+    assert set(rows) == {100, 101, 102, 103, 7} - {103} | ({103} if shingle_apart(texts) else set())
+    assert jaccard.keep_one(twice.limit(0)).count() == 0 and jaccard.jaccard_components(twice.limit(0)).count() == 0
+
+
+def shingle_apart(texts):
+    """Whether the last two texts differ: A to Z count as a to z, so they do not."""
+    return texts[-1][1].lower() != texts[-2][1].lower()
+
+
+def test_substrings_of_repeated_ids_and_long_words(spark):
+    w = " ".join(f"v{i}" for i in range(20))
+    out = substring.dedup_substrings(docs(spark, [(1, w), (1, w), (2, "q" * 2000 + " " + w), (3, "q" * 2000)])).collect()
+    assert sorted((r.doc_id, r.n_words, r.n_removed) for r in out) == [(1, 20, 0), (1, 20, 0), (2, 21, 20), (3, 1, 0)]
+
+
 def test_word_hashes_of_slices():
     import pyarrow as pa
 
@@ -350,6 +569,23 @@ def test_warc_edges(spark, tmp_path):
     assert warc.round_trip(pages.limit(0), str(tmp_path / "e")).count() == 0
 
 
+def test_archives_of_large_pages_in_any_time_zone(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "FILE_BYTES", 8000)
+    monkeypatch.setattr(warc, "RECORDS_PER_FILE", 4)
+    rows = [(i, f"http://h/{i}", chr(97 + i) * (9000 if i % 3 == 0 else 100)) for i in range(9)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        warc.write_warc(pages, str(tmp_path / "w"))
+        got = warc.read_runs(spark, str(tmp_path / "w")).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert sorted((r.page_id, r.payload_bytes, r.ts) for r in got) == [(i, len(h), f"2024-01-01T00:00:{i:02d}Z") for i, _, h in rows]
+    big = [r.file for r in got if r.payload_bytes == 9000]
+    assert len(set(big)) == len(big) == 3 and not set(big) & {r.file for r in got if r.payload_bytes == 100}
+
+
 def test_loser_tree_and_ranges(spark):
     rng = random.Random(8)
     rows = [(f"f{rng.randint(0, 6)}", f"k{rng.randint(0, 20)}", str(rng.randint(0, 9)), i, 1, "d", "response", None, i, 1) for i in range(500)]
