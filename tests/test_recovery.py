@@ -57,7 +57,7 @@ def test_abandoned_phases_are_purged_and_run_again(spark, tmp_path):
     assert set(states(after).values()) == {"complete"}
     # a purge that fails keeps its source out of the pass
     bad = HookPhase("cards", done, lambda s, c: None, depends_on=("embedding",))
-    after._write(keys(spark, "d"), "cards", F.lit("processing"), started_at=F.lit(1.0))
+    after._write(keys(spark, "d"), "cards", F.lit("processing"), started_at=F.lit(1.0), owner=F.expr("named_struct('pod', 'there', 'pid', 1, 'boot', 'zero')"))
     held = engine(spark, tmp_path, bad, boot="three")
     held.now = 9000.0
     assert [r.source for r in held.recover(c).collect()] == ["d"]

@@ -156,7 +156,7 @@ class Engine:
         values |= {"state": state, "attempt": F.coalesce(old["attempt"], F.lit(0)) + entry.get("attempt", F.lit(0))}
         e = F.struct(*[values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in schema(ENTRY).fields])
         out = rows.join(before, list(KEY), "left").select(*KEY, F.lit(phase).alias("phase"), F.lit(self.store.next_seq()).alias("seq"), F.lit(False).alias("removed"), e.alias("entry"))
-        self.store.add_diary(self.stored(out))
+        self.store.add_diary(out)  # an append may read the log that it adds to: what is read is fixed before
 
     def _status(self, rows: DataFrame, **columns: Any) -> None:
         self.store.add_status(rows.select(*KEY).withColumns({"seq": F.lit(self.store.next_seq()), "ts": F.lit(self.now)} | columns))
@@ -356,7 +356,7 @@ class Engine:
         keep = [p.id for p in self.registry if phases is None or p.id in phases]
         kind = schema(DIARY_EVENT)["entry"].dataType
         gone = rows.select(*KEY).withColumn("phase", F.explode(F.array(*map(F.lit, keep))))
-        self.store.add_diary(self.stored(gone.withColumns({"seq": F.lit(self.store.next_seq()), "removed": F.lit(True), "entry": F.lit(None).cast(kind)})))
+        self.store.add_diary(gone.withColumns({"seq": F.lit(self.store.next_seq()), "removed": F.lit(True), "entry": F.lit(None).cast(kind)}))
 
     def forget(self, sources: DataFrame, phases: list[str] | None = None) -> None:
         """Drop diary entries, so that these phases run again; a wait starts anew."""
