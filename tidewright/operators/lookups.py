@@ -73,15 +73,20 @@ def source_filter(source: Column, chat_id: Column, wanted: Column, wanted_chat:
     return same if wanted_chat is None else same & F.when(wanted_chat.isNull(), True).otherwise(F.coalesce(chat_id == wanted_chat, F.lit(False)))
 
 
-def byte_origin(sources: DataFrame, memory: DataFrame, persisted: DataFrame, disk: DataFrame) -> DataFrame:
+def byte_origin(sources: DataFrame, memory: DataFrame, persisted: DataFrame, disk: DataFrame, url: str | None = None) -> DataFrame:
     """(agent_id, scope, source, origin): where the bytes of a source come from.
     memory, disk: (agent_id, scope, name); persisted: (agent_id, scope, name) of
-    stored copies of urls, under persisted_url_name(). A url without a copy is downloaded."""
+    stored copies of urls, under persisted_url_name(). A url without a copy is
+    downloaded. url is a boolean column of sources that tells urls; without it
+    they begin with http. A null source is one of its own."""
     from ..functions.text import persisted_url_name
 
-    there = lambda df, flag, on: df.select("agent_id", "scope", F.col("name").alias(on)).distinct().withColumn(flag, F.lit(True))
-    s = sources.select("agent_id", "scope", "source").distinct().withColumn("_copy", persisted_url_name(F.col("source")))
-    s = s.join(there(memory, "_m", "source"), ["agent_id", "scope", "source"], "left").join(there(persisted, "_p", "_copy"), ["agent_id", "scope", "_copy"], "left").join(there(disk, "_d", "source"), ["agent_id", "scope", "source"], "left")
-    url = F.startswith("source", F.lit("http"))
-    origin = F.when(F.col("_m"), "memory").when(url & F.col("_p"), "copy").when(url, "download").when(F.col("_d"), "disk").otherwise("missing")
+    def flagged(s, df, flag, on):
+        there = df.select(F.col("agent_id").alias("_a"), F.col("scope").alias("_s"), F.col("name").alias("_n")).distinct().withColumn(flag, F.lit(True))
+        return s.join(there, (F.col("agent_id") == F.col("_a")) & (F.col("scope") == F.col("_s")) & F.col(on).eqNullSafe(F.col("_n")), "left").drop("_a", "_s", "_n")
+
+    is_url = F.startswith("source", F.lit("http")) if url is None else F.col(url)
+    s = sources.select("agent_id", "scope", "source", F.coalesce(is_url, F.lit(False)).alias("_url")).distinct().withColumn("_copy", persisted_url_name(F.col("source")))
+    s = flagged(flagged(flagged(s, memory, "_m", "source"), persisted, "_p", "_copy"), disk, "_d", "source")
+    origin = F.when(F.col("_m"), "memory").when(F.col("_url") & F.col("_p"), "copy").when(F.col("_url"), "download").when(F.col("_d"), "disk").otherwise("missing")
     return s.select("agent_id", "scope", "source", origin.alias("origin"))
