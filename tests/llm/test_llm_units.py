@@ -435,6 +435,31 @@ def test_substrings_without_frequent_windows(spark, monkeypatch):
     assert substring.dedup_substrings(docs(spark, texts).limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("run", [3, 50_000])
+def test_levels_go_on_until_none_survives(spark, monkeypatch, run):
+    monkeypatch.setattr(substring, "RUN", run)
+    monkeypatch.setattr(substring, "MANY", 3)
+    texts = small_corpus(4)
+    long = " ".join(f"l{i}" for i in range(150))
+    texts += [(1000 + i, f"x{i} {long}" + f" y{i}" * i) for i in range(20)]
+    out = substring.dedup_substrings(docs(spark, texts), 4).collect()
+    assert {r.doc_id: (r.n_words, r.n_removed, r.kept) for r in out} == brute_substrings(texts, 4)
+    longest = {d: max([0, *(n for n in (4, 8, 16, 32, 64, 128) if brute_substrings(texts, n)[d][1])]) for d, _ in texts}
+    assert {r.doc_id: r.longest for r in out} == longest and {0, 4, 8, 16, 128} <= set(longest.values())
+
+
+def test_op8_goes_through_all_levels(spark, monkeypatch, tmp_path):
+    from tidewright.llm.queries import QUERIES
+
+    seen, double = [], substring._double
+    monkeypatch.setattr(substring, "_double", lambda length, *more: seen.append(length) or double(length, *more))
+    long = " ".join(f"l{i}" for i in range(120))
+    docs(spark, [(1, long), (2, "a " + long + " b"), (3, "c d")], clash=False).write.parquet(f"{tmp_path}/documents.parquet")
+    rows = {r.doc_id: (r.n_words, r.n_removed, r.longest) for r in QUERIES["op8_substring_dedup"](spark, str(tmp_path)).collect()}
+    assert rows == {1: (120, 0, 0), 2: (122, 120, 13), 3: (2, 0, 0)}
+    assert sorted(set(seen)) == [13, 26, 52, 104]
+
+
 def test_jaccard_against_brute_force(spark, monkeypatch):
     from test_llm_queries import components
 

@@ -95,12 +95,9 @@ QUERIES["op3_toxicity"] = op3_toxicity
 
 
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = substring.dedup_substrings(table(spark, sf_dir, "documents"), longest=LONGEST)
-    return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"), "longest")
-
-
-#: Length at which the levels of op8 end: 13 words decide what goes.
-LONGEST = 13
+    """All levels; of the longest one the SQL has whether it is at least a window."""
+    out = substring.dedup_substrings(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"), F.least("longest", F.lit(substring.WINDOW)).alias("longest"))
 
 
 OP8_SQL = r"""

@@ -1,8 +1,8 @@
 """Substring dedup by level-wise doubling over word windows.
 
 A window can only repeat if the windows of half its length inside it repeat.
-The levels for windows of 13 words are 7, 13, 26, 52 and so on up to `longest`,
-or until no candidate survives. At a level, candidates of equal hash meet; those
+The levels for windows of 13 words are 7, 13, 26, 52 and so on until no
+candidate survives, or up to `longest`. At a level, candidates of equal hash meet; those
 that two documents have survive, and only stretches of survivors long enough to
 hold a window of the next length are extended to it.
 
@@ -13,8 +13,8 @@ texts of documents with survivors; windows of further levels need no text, as
 the hash of twice the length is made of the hashes of its halves. All levels
 beyond the first compare 128 bits.
 
-Windows are compared in runs of equal keys. The rows of a frequent key (seen in
-several documents of a bounded sample) are dealt to several runs; each finds the
+Windows are compared in runs of equal keys. The rows of a key that is frequent
+at its level (seen in several documents of a bounded sample) are dealt to several runs; each finds the
 smallest document of every window, and a second step compares those."""
 
 from __future__ import annotations
@@ -32,20 +32,14 @@ from .hashing import mix, slices, text_column, windows, word_hashes
 WINDOW = 13
 #: Documents sampled to find frequent windows, and sampled documents that make one frequent.
 SAMPLE_DOCS, FREQUENT = 4096, 3
+#: Documents, as the sample has it, from which on a key is frequent at a level beyond the first two.
+MANY = 1000
 #: Keys that the rows of a frequent window are dealt to.
 SALTS = 16
 #: Rows of a key that a task holds; of longer runs it holds the distinct windows only.
 RUN = 50_000
 
 
-def lengths(window: int, longest: int) -> list[int]:
-    """The levels: half a window, a window, twice that and so on."""
-    out = [(window + 1) // 2, window]
-    while 2 * out[-1] <= longest:
-        out.append(2 * out[-1])
-    return out
-
-
 def _least(h: np.ndarray, n: int) -> np.ndarray:
     """Smallest of each n neighbours."""
     out, have, size = h, 1, 1
@@ -94,8 +88,9 @@ def _level_one(window: int, frequent: np.ndarray):
 
 
 def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of (key, doc_id, often) sorted by key and doc_id: the rows, once each, of
-    keys that two documents have, and those of frequent keys."""
+    """Of (key, doc_id, often) sorted by key: the rows of keys that two documents
+    have, and those of frequent keys; neighbours that are equal give one. (Spark
+    sorts by one column much faster than by two.)"""
     held: tuple | None = None  # the last row, and whether its key has had another document
     for b in batches:
         key, doc, often = b.column(0).to_numpy(), b.column(1).to_numpy(), b.column(2).to_numpy(zero_copy_only=False)
@@ -132,6 +127,11 @@ def _unpacked(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarra
     return both[:, 0], both[:, 1], np.diff(off) // 16
 
 
+def _dealt(key: np.ndarray, doc: np.ndarray, often: np.ndarray) -> np.ndarray:
+    """The keys, those of rows that are often under SALTS keys by document."""
+    return np.where(often, mix(key + mix(mix(doc.astype(np.int64).view(np.uint64), 6) % np.uint64(SALTS), 5)), key)
+
+
 def _extend(window: int, frequent: np.ndarray):
     """Windows under repeated keys, (key, doc_id, at, packed, often): a row for
     each stretch of windows of a document that share a key. Rows of a frequent
@@ -157,7 +157,7 @@ def _extend(window: int, frequent: np.ndarray):
                 x, y, p = windows(h[0], window)[at], windows(h[1], window, 1)[at], at - base[r]
                 first = np.flatnonzero(np.append(True, (k[1:] != k[:-1]) | (r[1:] != r[:-1]) | (p[1:] != p[:-1] + 1)))
                 k, doc, often = k[first], ids[r[first] + a], often[first]
-                k = np.where(often, mix(k + mix(mix(doc.astype(np.int64).view(np.uint64), 6) % np.uint64(SALTS), 5)), k)
+                k = _dealt(k, doc, often)
                 yield pa.RecordBatch.from_arrays([pa.array(k.view(np.int64)), pa.array(doc), pa.array(p[first].astype(np.int32)), _packed(x, y, first), pa.array(often)], names=["key", "doc_id", "at", "packed", "often"])
 
     return run
@@ -170,7 +170,9 @@ def _found(doc: np.ndarray, pos: np.ndarray, x: np.ndarray, y: np.ndarray, late:
     """Stretches of windows, put in order by document and position: first, and
     last where they are late (in a document with a smaller id too); open: whether
     another run may know a smaller document; the hashes of open ones, and with pack of all."""
-    order = np.lexsort((pos, late, open_, doc))
+    place = pos + (late.astype(np.int64) << 32) + (open_.astype(np.int64) << 33)
+    near = not len(doc) or int(doc.max()) - int(doc.min()) < 1 << 29  # then one number has it all, and one key sorts much faster
+    order = np.argsort((doc - doc.min() << 34) + place) if near and len(doc) else np.lexsort((place, doc))
     doc, pos, x, y, late, open_ = (v[order] for v in (doc, pos, x, y, late, open_))
     new = np.append(True, (doc[1:] != doc[:-1]) | (pos[1:] != pos[:-1] + 1) | (late[1:] != late[:-1]) | (open_[1:] != open_[:-1])) if len(doc) else np.zeros(0, bool)
     first = np.flatnonzero(new)
@@ -182,6 +184,20 @@ def _found(doc: np.ndarray, pos: np.ndarray, x: np.ndarray, y: np.ndarray, late:
     return pa.RecordBatch.from_arrays([pa.array(doc[first]), pa.array(pos[first].astype(np.int32)), pa.array(pos[last].astype(np.int32), mask=~late), packed, pa.array(open_)], names=["doc_id", "first", "last", "packed", "open"])
 
 
+def _groups(k: np.ndarray, x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order in which equal (k, x, y) are neighbours, and where a group of them begins."""
+    one = mix(x + mix(k.view(np.uint64)))
+    order = np.argsort(one)  # one key sorts much faster than three
+    for again in (False, True):
+        if again:
+            order = np.lexsort((y, x, k))
+        oo, ko, xo, yo = one[order], k[order], x[order], y[order]
+        group = np.append(True, (ko[1:] != ko[:-1]) | (xo[1:] != xo[:-1]) | (yo[1:] != yo[:-1])) if len(k) else np.zeros(0, bool)
+        if not (group[1:] & (oo[1:] == oo[:-1])).any():  # else the one key is not enough
+            break
+    return order, group
+
+
 def _repeats(pack: bool):
     """Of stretches (key, doc_id, at, packed, often) sorted by key and doc_id:
     OUT rows of windows that two documents of a run have. Late ones come as
@@ -196,15 +212,15 @@ def _repeats(pack: bool):
             pos = at[which] + np.arange(len(x)) - np.repeat(np.cumsum(n) - n, n)
             k, d, dealt = key[which], doc[which], often[which].astype(bool)
             if whole:
-                order = np.lexsort((d, y, x, k))
-                ko, xo, yo, do = k[order], x[order], y[order], d[order]
-                group = np.append(True, (ko[1:] != ko[:-1]) | (xo[1:] != xo[:-1]) | (yo[1:] != yo[:-1])) if len(ko) else np.zeros(0, bool)
+                order, group = _groups(k, x, y)
+                do = d[order]
                 first = np.flatnonzero(group)
                 nth = np.cumsum(group) - 1
                 late, many = np.zeros(len(x), bool), np.zeros(len(x), bool)
                 if len(first):
-                    late[order] = do > do[first][nth]
-                    many[order] = np.maximum.reduceat(do, first)[nth] > do[first][nth]
+                    least_doc = np.minimum.reduceat(do, first)
+                    late[order] = do > least_doc[nth]
+                    many[order] = (np.maximum.reduceat(do, first) > least_doc)[nth]
                 open_ = dealt & ~late
                 keep = late | open_ | (many if pack else False)
                 yield _found(d[keep], pos[keep], x[keep], y[keep], late[keep], open_[keep], pack)
@@ -250,19 +266,21 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _found(doc, pos.astype(np.int64), x.view(np.uint64), y.view(np.uint64), late, np.zeros(len(doc), bool), True)
 
 
-def _double(length: int):
-    """Of survivors of one length (doc_id, first, packed) sorted by both: windows
-    of twice the length, (key, doc_id, at, packed), where all windows inside
-    survived; key is the smallest hash among those."""
+def _double(length: int, frequent: np.ndarray):
+    """Of survivors of one length (doc_id, first, packed) sorted by doc_id: windows
+    of twice the length, (key, doc_id, at, packed, often), where all windows
+    inside survived; key is the smallest hash among those. Rows of a frequent key are dealt to SALTS keys by document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t, _ in key_runs(batches):
+            t = t.take(np.lexsort((t.column(1).to_numpy(), t.column(0).to_numpy())))
             doc, at = t.column(0).to_numpy(), t.column(1).to_numpy()
             x, y, n = _unpacked(t.column(2))
             which = np.repeat(np.arange(len(doc)), n)
             d, pos = doc[which], at[which] + np.arange(len(x)) - np.repeat(np.cumsum(n) - n, n)
-            order = np.lexsort((pos, d))
-            d, pos, x, y = d[order], pos[order], x[order], y[order]
+            if ((d[1:] < d[:-1]) | (d[1:] == d[:-1]) & (pos[1:] < pos[:-1])).any():
+                order = np.lexsort((pos, d))
+                d, pos, x, y = d[order], pos[order], x[order], y[order]
             new = np.append(True, (d[1:] != d[:-1]) | (pos[1:] != pos[:-1])) if len(d) else np.zeros(0, bool)
             d, pos, x, y = d[new], pos[new], x[new], y[new]
             if len(d) <= length:
@@ -274,16 +292,43 @@ def _double(length: int):
             x2, y2 = (mix(v[i] * np.uint64(2654435761) + mix(v[i + length], 1, lane), length, lane) for lane, v in ((0, x), (1, y)))
             d, pos = d[i], pos[i]
             first = np.flatnonzero(np.append(True, (key[1:] != key[:-1]) | (d[1:] != d[:-1]) | (pos[1:] != pos[:-1] + 1)))
-            yield pa.RecordBatch.from_arrays([pa.array(key[first].view(np.int64)), pa.array(d[first]), pa.array(pos[first].astype(np.int32)), _packed(x2, y2, first), pa.array(np.zeros(len(first), bool))], names=["key", "doc_id", "at", "packed", "often"])
+            often = np.isin(key[first], frequent) if len(frequent) else np.zeros(len(first), bool)
+            yield pa.RecordBatch.from_arrays([pa.array(_dealt(key[first], d[first], often).view(np.int64)), pa.array(d[first]), pa.array(pos[first].astype(np.int32)), _packed(x2, y2, first), pa.array(often)], names=["key", "doc_id", "at", "packed", "often"])
 
     return run
 
 
+NONE = np.zeros(0, np.uint64)
+KEYS, STRETCHES = "key long, doc_id long, often boolean", "key long, doc_id long, at int, packed binary, often boolean"
+
+
+def _frequent(keys: DataFrame, least: float) -> np.ndarray:
+    """Keys that so many documents of a sample have: at most its windows."""
+    seen = keys.select("key", "doc_id").distinct().groupBy("key").count().where(F.col("count") >= least)
+    return np.array(sorted(r.key for r in seen.select("key").collect()), np.int64).view(np.uint64)
+
+
+def _survivors(stretches: DataFrame, dealt: bool, pack: bool) -> tuple[DataFrame, list[DataFrame]]:
+    """OUT rows, none of them open, of windows that two documents have, and the
+    stored tables that they are read from; dealt: whether keys are dealt to several runs."""
+    found = stored(by_key(stretches, "key", "doc_id").mapInArrow(_repeats(pack), OUT), "level", "zstd")
+    release(found.sparkSession)
+    if not dealt:
+        return found, [found]
+    # of a window under a frequent key every run has sent its smallest document
+    smallest = found.where("open").select("doc_id", "first", "packed").mapInArrow(_unpack, "x long, y long, doc_id long, at int")
+    least = smallest.groupBy(F.col("x").alias("l_x"), F.col("y").alias("l_y")).agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most")
+    late = smallest.join(least, F.expr("x = l_x and y = l_y")).select("x", "y", "doc_id", "at", F.expr("doc_id > least").alias("late"))
+    closed = stored((late if pack else late.where("late")).mapInArrow(_pack, OUT), "frequent", "zstd")
+    release(found.sparkSession)
+    return found.where("not open").unionByName(closed), [found, closed]
+
+
 def repeated_windows(docs: DataFrame, window: int = WINDOW, doc_id: str = "doc_id", text: str = "text", longest: int = 0) -> DataFrame:
     """(doc_id, length, first, last): for every level from `window` on, ranges of
     positions (by first word, inclusive; a range may come in pieces) of windows
     of that length whose words also are a window of a document with a smaller
-    id. Levels end at `longest` (0: at `window`) or when none survives. Rows with a null id take no part."""
+    id. Levels end when none survives, or at `longest` if it is not 0. Rows with a null id take no part."""
     spark = docs.sparkSession
     small_batches(spark)
     schema = "doc_id long, length int, first int, last int"
@@ -291,12 +336,10 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, doc_id: str = "doc_i
     n = d.count()
     if not n:
         return spark.createDataFrame([], schema)
-    levels = lengths(window, longest)
     share = min(1.0, SAMPLE_DOCS / n)
-    sample = d.where(F.pmod(F.xxhash64("doc_id", F.lit(8)), F.lit(1 << 30)) < int(share * (1 << 30)))
-    seen = sample.mapInArrow(_level_one(window, np.zeros(0, np.uint64)), "key long, doc_id long, often boolean").select("key", "doc_id").distinct().groupBy("key").count().where(F.col("count") >= FREQUENT)
-    frequent = np.array(sorted(r.key for r in seen.select("key").collect()), np.int64).view(np.uint64)  # at most the windows of the sample
-    again = stored(by_key(d.mapInArrow(_level_one(window, frequent), "key long, doc_id long, often boolean"), "key", "doc_id").mapInArrow(_repeated, "key long, doc_id long, often boolean"), "repeated")
+    sampled = F.pmod(F.xxhash64("doc_id", F.lit(8)), F.lit(1 << 30)) < int(share * (1 << 30))
+    frequent = _frequent(d.where(sampled).mapInArrow(_level_one(window, NONE), KEYS), FREQUENT)
+    again = stored(by_key(d.mapInArrow(_level_one(window, frequent), KEYS), "key").mapInArrow(_repeated, KEYS), "repeated")
     release(spark)
     lists = stored(again.groupBy(F.col("doc_id").alias("k_id")).agg(F.collect_list(F.expr("if(often, null, key)")).alias("keys")), "lists")
     drop_stored(again)
@@ -304,29 +347,26 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, doc_id: str = "doc_i
     n_lists = lists.count()
     some = d.join(F.broadcast(lists.select(F.col("k_id").alias("s_id"))), F.expr("doc_id = s_id"), "left_semi") if n_lists <= BROADCAST_IDS else d
     two = some.join(lists, F.expr("doc_id = k_id")).select("doc_id", "text", "keys")
-    runs = two.mapInArrow(_extend(window, frequent), "key long, doc_id long, at int, packed binary, often boolean")
-    deeper = len(levels) > 2
-    found = stored(by_key(runs, "key", "doc_id").mapInArrow(_repeats(deeper), OUT), "level")
+    deeper = lambda length: not longest or 2 * length <= longest
+    found, tables = _survivors(two.mapInArrow(_extend(window, frequent), STRETCHES), len(frequent) > 0, deeper(window))
     drop_stored(lists)
-    release(spark)
-
-    # of a window under a frequent key every run has sent its smallest document
-    smallest = found.where("open").select("doc_id", "first", "packed").mapInArrow(_unpack, "x long, y long, doc_id long, at int")
-    least = smallest.groupBy(F.col("x").alias("l_x"), F.col("y").alias("l_y")).agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most")
-    late = smallest.join(least, F.expr("x = l_x and y = l_y")).select("x", "y", "doc_id", "at", F.expr("doc_id > least").alias("late"))
-    closed = stored((late if deeper else late.where("late")).mapInArrow(_pack, OUT), "frequent")
-    found = found.where("not open").unionByName(closed)
-    release(spark)
-    out = None
-    for length in levels[1:]:
-        part = found.where("last is not null and not open").select("doc_id", F.lit(length).alias("length"), "first", "last")
+    out, length = None, window
+    while True:
+        part = found.where("last is not null").select("doc_id", F.lit(length).alias("length"), "first", "last")
+        if deeper(length):  # the hashes go when the next level is there, the ranges stay
+            part = stored(part, "ranges")
         out = part if out is None else out.union(part)
-        if length == levels[-1] or not found.head(1):
-            break
-        wide = by_key(found.select("doc_id", "first", "packed"), "doc_id", "first").mapInArrow(_double(length), "key long, doc_id long, at int, packed binary, often boolean")
-        found = stored(by_key(wide, "key", "doc_id").mapInArrow(_repeats(2 * length < levels[-1]), OUT), "level")
-        release(spark)
-    return out
+        if not deeper(length) or not found.head(1):
+            return out
+        spans = found.select("doc_id", "first", "packed")
+        wide = lambda rows, often, n=length: by_key(rows, "doc_id").mapInArrow(_double(n, often), STRETCHES)
+        if len(frequent):  # a key that is not frequent is not so at a longer level
+            frequent = _frequent(wide(spans.where(sampled), NONE), max(FREQUENT, share * MANY))
+        length *= 2
+        old = tables
+        found, tables = _survivors(wide(spans, frequent), len(frequent) > 0, deeper(length))
+        for table in old:
+            drop_stored(table)
 
 
 def _cut(window: int):
@@ -361,7 +401,9 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, doc_id: str = "doc_i
     names one document: rows that share an id but not the text lose what is
     found at the positions of any. Texts and words may be of any length; other columns are not read."""
     found = repeated_windows(docs, window, doc_id, text, longest)
-    spans = found.groupBy(F.col("doc_id").alias("s_id")).agg(F.collect_list(F.expr(f"if(length = {window}, struct(first, last), null)")).alias("spans"), F.max("length").alias("longest"))
+    most = found.groupBy(F.col("doc_id").alias("m_id")).agg(F.max("length").alias("longest"))
+    found = found.where(F.col("length") == window)  # longer ones are inside
+    spans = found.groupBy(F.col("doc_id").alias("s_id")).agg(F.collect_list(F.struct("first", "last")).alias("spans")).join(most, F.expr("s_id = m_id")).drop("m_id")
     d = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     ids = found.select(F.col("doc_id").alias("f_id")).distinct()
     n = ids.count()
