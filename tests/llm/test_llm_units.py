@@ -1,5 +1,6 @@
 """Operators on small tables: nulls, empty and long texts, ties, repeated rows, clashing columns."""
 
+import os
 import random
 import re
 
@@ -460,6 +461,42 @@ def test_op8_goes_through_all_levels(spark, monkeypatch, tmp_path):
     assert sorted(set(seen)) == [13, 26, 52, 104]
 
 
+def test_levels_carry_stretches_not_windows(spark, monkeypatch):
+    """What levels beyond the first two store does not grow with the length of a stretch."""
+    tables, stored = [], substring.stored
+
+    def sized(df, *more):
+        out = stored(df, *more)
+        tables.append((more[0], sum(os.path.getsize(os.path.join(d, f)) for d, _, files in os.walk(out._tidewright_path) for f in files if f.endswith(".parquet"))))
+        return out
+
+    monkeypatch.setattr(substring, "stored", sized)
+    words = [f"w{i}" for i in range(20_000)]
+    texts = [(1, " ".join(words)), (2, " ".join(words)), (3, " ".join([*words[:10_000], "other", *words[10_000:]])), (4, "w0 w1")]
+    out = {r.doc_id: (r.n_words, r.n_removed, r.longest) for r in substring.dedup_substrings(docs(spark, texts)).collect()}
+    assert out == {1: (20_000, 0, 0), 2: (20_000, 20_000, 13 << 10), 3: (20_001, 20_000, 13 << 9), 4: (2, 0, 0)}
+    first = [name for name, _ in tables].index("level")
+    further = [n for name, n in tables[first + 1 :] if name in ("level", "pieces")]
+    assert len(further) > 10 and sum(further) < 100_000
+
+
+def test_near_copies_at_all_levels(spark, monkeypatch):
+    import pyarrow as pa
+
+    met, smallest = [], substring._smallest
+    text = [f"w{i}" for i in range(60)]
+    rng = random.Random(8)
+    texts = [(i, " ".join("x" + str(i) if j == p else w for j, w in enumerate(text))) for i in range(300) for p in [rng.randrange(60)]]
+    out = {r.doc_id: (r.n_words, r.n_removed, r.kept, r.longest) for r in substring.dedup_substrings(docs(spark, texts), 4).collect()}
+    brute = {n: brute_substrings(texts, n) for n in (4, 8, 16, 32)}
+    assert out == {d: (*brute[4][d], max([0, *(n for n in brute if brute[n][d][1])])) for d, _ in texts}
+    names = ["key", "a", "b", "delta", "lo", "hi", "doc_id", "shift", "most"]
+    rows = [(5, 1, 1, 4, 0, 9, 1, 0, 7), (5, 1, 1, 4, 3, 12, 2, 5, 2), (5, 1, 2, 4, 3, 4, 3, 0, 3), (6, 1, 1, 4, 128, 130, 9, 0, 9)]
+    for b in smallest(128)([pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)], names=names)]):
+        met += [tuple(r.values()) for r in b.to_pylist()]
+    assert met == [(1, 1, 4, 0, 9, 0, 9, 1, 0), (1, 1, 4, 3, 12, 3, 9, 1, 3)]
+
+
 def test_jaccard_against_brute_force(spark, monkeypatch):
     from test_llm_queries import components
 

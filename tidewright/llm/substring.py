@@ -9,13 +9,19 @@ hold a window of the next length are extended to it.
 Level one reads all texts. It sends not every half-length window but, of those
 inside each full window, the one with the smallest hash, which equal full
 windows share: about a quarter of them. Windows of the next level come from the
-texts of documents with survivors; windows of further levels need no text, as
-the hash of twice the length is made of the hashes of its halves. All levels
-beyond the first compare 128 bits.
-
-Windows are compared in runs of equal keys. The rows of a key that is frequent
-at its level (seen in several documents of a bounded sample) are dealt to several runs; each finds the
-smallest document of every window, and a second step compares those."""
+texts of documents with survivors and are compared by 128 bits, in runs of equal
+keys. The rows of a key that is frequent (seen in several documents of a bounded
+sample) are dealt to several runs; each finds the smallest document of every
+window, and a second step compares those.
+
+A survivor is named by a place of it in its smallest document, so a stretch of
+windows that runs along a stretch of that document is one row, whatever its
+length, and further levels need neither texts nor hashes: a window of twice the
+length is known by the names of its halves. Stretches of such pairs are cut at
+every MANYth place and met with those of other documents; the smallest document
+that has a pair names it. What a level sends grows with the number of
+stretches, not of windows, and a pair that any number of documents have comes
+to few different rows, which are aggregated before they are sent."""
 
 from __future__ import annotations
 
@@ -32,8 +38,10 @@ from .hashing import mix, slices, text_column, windows, word_hashes
 WINDOW = 13
 #: Documents sampled to find frequent windows, and sampled documents that make one frequent.
 SAMPLE_DOCS, FREQUENT = 4096, 3
-#: Documents, as the sample has it, from which on a key is frequent at a level beyond the first two.
-MANY = 1000
+#: Neighbouring windows that are compared together at levels beyond the first two.
+MANY = 128
+#: The same where names that several runs gave are made one.
+NEAR = 8
 #: Keys that the rows of a frequent window are dealt to.
 SALTS = 16
 #: Rows of a key that a task holds; of longer runs it holds the distinct windows only.
@@ -163,25 +171,28 @@ def _extend(window: int, frequent: np.ndarray):
     return run
 
 
-OUT = "doc_id long, first int, last int, packed binary, open boolean"
+SPANS = "doc_id long, first int, last int, of long, at int"
+OUT = f"{SPANS}, kind int, packed binary"
+#: Kinds of OUT rows: named for good; named within one of several runs of a key; the same of a window that gives
+#: such a name, with its hashes; of one that another document of the run has too.
+CLOSED, LOCAL, ALONE, SHARED = range(4)
 
 
-def _found(doc: np.ndarray, pos: np.ndarray, x: np.ndarray, y: np.ndarray, late: np.ndarray, open_: np.ndarray, pack: bool) -> pa.RecordBatch:
-    """Stretches of windows, put in order by document and position: first, and
-    last where they are late (in a document with a smaller id too); open: whether
-    another run may know a smaller document; the hashes of open ones, and with pack of all."""
-    place = pos + (late.astype(np.int64) << 32) + (open_.astype(np.int64) << 33)
+def _found(doc: np.ndarray, pos: np.ndarray, of: np.ndarray, at: np.ndarray, kind: np.ndarray, x: np.ndarray, y: np.ndarray) -> pa.RecordBatch:
+    """OUT rows: stretches of windows, put in order by document, kind and
+    position, whose names (of, at) are neighbours as they are."""
+    place = pos + (kind.astype(np.int64) << 32)
     near = not len(doc) or int(doc.max()) - int(doc.min()) < 1 << 29  # then one number has it all, and one key sorts much faster
     order = np.argsort((doc - doc.min() << 34) + place) if near and len(doc) else np.lexsort((place, doc))
-    doc, pos, x, y, late, open_ = (v[order] for v in (doc, pos, x, y, late, open_))
-    new = np.append(True, (doc[1:] != doc[:-1]) | (pos[1:] != pos[:-1] + 1) | (late[1:] != late[:-1]) | (open_[1:] != open_[:-1])) if len(doc) else np.zeros(0, bool)
+    doc, pos, of, at, kind = (v[order] for v in (doc, pos, of, at, kind))
+    new = np.append(True, (doc[1:] != doc[:-1]) | (pos[1:] != pos[:-1] + 1) | (of[1:] != of[:-1]) | (at[1:] != at[:-1] + 1) | (kind[1:] != kind[:-1])) if len(doc) else np.zeros(0, bool)
     first = np.flatnonzero(new)
     last = np.append(first[1:], len(doc)) - 1 if len(doc) else first
-    late, open_ = late[first], open_[first]
-    packed = _packed(x, y, first)
-    if not pack and not open_.all():
-        packed = pa.compute.if_else(pa.array(open_), packed, pa.nulls(len(first), pa.binary()))
-    return pa.RecordBatch.from_arrays([pa.array(doc[first]), pa.array(pos[first].astype(np.int32)), pa.array(pos[last].astype(np.int32), mask=~late), packed, pa.array(open_)], names=["doc_id", "first", "last", "packed", "open"])
+    gives = kind[first] >= ALONE
+    packed = pa.compute.if_else(pa.array(gives), _packed(x[order], y[order], first), pa.nulls(len(first), pa.binary())) if gives.any() else pa.nulls(len(first), pa.binary())
+    ints = (v.astype(np.int32) for v in (pos[first], pos[last], at[first], kind[first]))
+    low, high, place, kind = map(pa.array, ints)
+    return pa.RecordBatch.from_arrays([pa.array(doc[first]), low, high, pa.array(of[first]), place, kind, packed], names=["doc_id", "first", "last", "of", "at", "kind", "packed"])
 
 
 def _groups(k: np.ndarray, x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -198,130 +209,200 @@ def _groups(k: np.ndarray, x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np
     return order, group
 
 
-def _repeats(pack: bool):
+def _repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of stretches (key, doc_id, at, packed, often) sorted by key and doc_id:
-    OUT rows of windows that two documents of a run have. Late ones come as
-    such; those of the smallest document only with pack, or open, from a key whose rows are dealt to several runs."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        long_key, least = None, {}  # of a key whose rows are too many to hold: window -> [smallest document, at, whether it went out]
-        for t, whole in key_runs(batches, RUN):
-            key, doc, at, often = (t.column(i).to_numpy() for i in (0, 1, 2, 4))
-            x, y, n = _unpacked(t.column(3))
-            which = np.repeat(np.arange(len(key)), n)
-            pos = at[which] + np.arange(len(x)) - np.repeat(np.cumsum(n) - n, n)
-            k, d, dealt = key[which], doc[which], often[which].astype(bool)
-            if whole:
-                order, group = _groups(k, x, y)
-                do = d[order]
-                first = np.flatnonzero(group)
-                nth = np.cumsum(group) - 1
-                late, many = np.zeros(len(x), bool), np.zeros(len(x), bool)
-                if len(first):
-                    least_doc = np.minimum.reduceat(do, first)
-                    late[order] = do > least_doc[nth]
-                    many[order] = (np.maximum.reduceat(do, first) > least_doc)[nth]
-                open_ = dealt & ~late
-                keep = late | open_ | (many if pack else False)
-                yield _found(d[keep], pos[keep], x[keep], y[keep], late[keep], open_[keep], pack)
-                if pack and (both := open_ & many).any():  # these have survived whatever the other runs know
-                    yield _found(d[both], pos[both], x[both], y[both], late[both], np.zeros(int(both.sum()), bool), pack)
+    OUT rows of windows that two documents of a run have, under the name of a
+    place in the smallest one; all windows of a key whose rows are dealt to several runs."""
+    long_key, least = None, {}  # of a key whose rows are too many to hold: window -> [smallest document, at, whether another has it]
+    for t, whole in key_runs(batches, RUN):
+        key, doc, at, often = (t.column(i).to_numpy() for i in (0, 1, 2, 4))
+        x, y, n = _unpacked(t.column(3))
+        which = np.repeat(np.arange(len(key)), n)
+        pos = at[which] + np.arange(len(x)) - np.repeat(np.cumsum(n) - n, n)
+        d, dealt = doc[which], often[which].astype(bool)
+        if whole:
+            order, group = _groups(key[which], x, y)
+            if not len(order):
                 continue
-            if long_key != key[0]:
-                long_key, least = key[0], {}
-            rows = []
-            for dd, pp, xx, yy, hot in zip(d.tolist(), pos.tolist(), x.tolist(), y.tolist(), dealt.tolist(), strict=True):
-                seen = least.setdefault((xx, yy), [dd, pp, False])
-                if dd == seen[0]:
-                    if hot:
-                        rows.append((dd, pp, xx, yy, False, True))
-                    if pack and pp != seen[1]:
-                        rows.append((dd, pp, xx, yy, False, False))  # whether others have it or not: a candidate more
-                    continue
-                rows.append((dd, pp, xx, yy, True, False))
-                if pack and not seen[2]:
-                    rows.append((seen[0], seen[1], xx, yy, False, False))
+            d, pos, x, y, dealt = (v[order] for v in (d, pos, x, y, dealt))
+            first, nth = np.flatnonzero(group), np.cumsum(group) - 1
+            smallest = np.minimum.reduceat(d, first)
+            many = (np.maximum.reduceat(d, first) > smallest)[nth]
+            of = smallest[nth]
+            own = np.flatnonzero(d == of)
+            rep = own[np.append(True, nth[own][1:] != nth[own][:-1])]  # a window of each group, in its smallest document
+            gives = np.zeros(len(d), bool)
+            gives[rep] = True
+            kind = np.where(dealt, np.where(gives, ALONE + many, LOCAL), CLOSED)
+            keep = dealt | many
+            yield _found(*(v[keep] for v in (d, pos, of, pos[rep][nth], kind, x, y)))
+            continue
+        if long_key != key[0]:
+            long_key, least = key[0], {}
+        rows = []
+        for dd, pp, xx, yy, hot in zip(d.tolist(), pos.tolist(), x.tolist(), y.tolist(), dealt.tolist(), strict=True):
+            seen = least.get((xx, yy))
+            if seen is None:
+                least[xx, yy] = [dd, pp, False]
+                if hot:
+                    rows.append((dd, pp, dd, pp, ALONE, xx, yy))
+                continue
+            rows.append((dd, pp, *seen[:2], LOCAL if hot else CLOSED, xx, yy))  # of the same document, whether others have it or not: a candidate more
+            if dd != seen[0] and not seen[2]:
+                rows.append((*seen[:2], *seen[:2], SHARED if hot else CLOSED, xx, yy))
                 seen[2] = True
-            c = list(zip(*rows, strict=True)) or [[]] * 6
-            kinds = (np.int64, np.int64, np.uint64, np.uint64, bool, bool)
-            yield _found(*(np.array(v, kind) for v, kind in zip(c, kinds, strict=True)), pack)
-
-    return run
+        c = list(zip(*rows, strict=True)) or [[]] * 7
+        kinds = (np.int64, np.int64, np.int64, np.int64, np.int64, np.uint64, np.uint64)
+        yield _found(*(np.array(v, kind) for v, kind in zip(c, kinds, strict=True)))
 
 
 def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row for each window of a stretch (doc_id, first, packed)."""
+    """A row for each window of a stretch (doc_id, first, packed, many)."""
     for b in batches:
         x, y, n = _unpacked(b.column(2))
         which = np.repeat(np.arange(len(n)), n)
         pos = b.column(1).to_numpy()[which] + np.arange(len(x)) - np.repeat(np.cumsum(n) - n, n)
-        yield pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)), pa.array(y.view(np.int64)), pa.array(b.column(0).to_numpy()[which]), pa.array(pos.astype(np.int32))], names=["x", "y", "doc_id", "at"])
+        many = b.column(3).to_numpy(zero_copy_only=False)[which]
+        yield pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)), pa.array(y.view(np.int64)), pa.array(b.column(0).to_numpy()[which]), pa.array(pos.astype(np.int32)), pa.array(many)], names=["x", "y", "doc_id", "at", "many"])
 
 
-def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """OUT rows of single windows (x, y, doc_id, at, late)."""
+def _renamed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """SPANS rows of stretches (doc_id, first, last, at, names) by the names (run_at, of, at) of their places."""
     for b in batches:
-        x, y, doc, pos = (b.column(i).to_numpy() for i in range(4))
-        late = b.column(4).to_numpy(zero_copy_only=False)
-        yield _found(doc, pos.astype(np.int64), x.view(np.uint64), y.view(np.uint64), late, np.zeros(len(doc), bool), True)
+        doc, first, last, at = (b.column(i).to_numpy().astype(np.int64) for i in range(4))
+        names = b.column(4)
+        flat = names.flatten()
+        run_at, of, new = (flat.field(i).to_numpy().astype(np.int64) for i in range(3))
+        which = np.repeat(np.arange(len(doc)), pa.compute.list_value_length(names).to_numpy())
+        pos = first[which] + run_at - at[which]
+        keep = (pos >= first[which]) & (pos <= last[which])
+        none = np.zeros(int(keep.sum()), np.uint64)
+        out = _found(doc[which][keep], pos[keep], of[keep], new[keep], none.view(np.int64), none, none)
+        yield out.select(["doc_id", "first", "last", "of", "at"])
+
+
+def _double(length: int, many: int):
+    """Of survivors of one length, SPANS rows sorted by doc_id: windows of twice
+    the length whose halves both survived, PIECES rows. lo to hi are the places
+    that name the first halves, in document a; delta on from them in document b
+    are those of the second halves; shift on from them is where the windows
+    begin. No row goes over a multiple of `many`."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t, _ in key_runs(batches):
+            doc, first, last, of, at = (t.column(i).to_numpy().astype(np.int64) for i in range(5))
+            order = np.lexsort((first, doc))
+            doc, first, last, of, at = (v[order] for v in (doc, first, last, of, at))
+            # all documents on one line, so far apart that no window goes over to the next one
+            base = np.cumsum(np.append(False, doc[1:] != doc[:-1])) * (int(last.max()) + 2 * length + 2)
+            s, e = base + first, base + last
+            diagonal = at - s
+            s[1:] = np.maximum(s[1:], np.maximum.accumulate(e)[:-1] + 1)  # a place has one name
+            keep = s <= e
+            doc, base, s, e, of, diagonal = (v[keep] for v in (doc, base, s, e, of, diagonal))
+            new = np.append(True, (s[1:] != e[:-1] + 1) | (of[1:] != of[:-1]) | (diagonal[1:] != diagonal[:-1]) | (base[1:] != base[:-1]))
+            begin = np.flatnonzero(new)
+            e = e[np.append(begin[1:], len(new)) - 1]
+            doc, base, s, of, diagonal = (v[begin] for v in (doc, base, s, of, diagonal))
+            # between neighbouring borders of either half both halves are in one stretch each, or in none
+            border = np.unique(np.concatenate([s, e + 1, s - length, e + 1 - length]))
+            p, q = border[:-1], border[1:] - 1
+            i, j = (np.searchsorted(s, v, "right") - 1 for v in (p, p + length))
+            both = np.flatnonzero((i >= 0) & (p <= e[i]) & (p + length <= e[j]))
+            p, q, i, j = p[both], q[both], i[both], j[both]
+            lo, hi = p + diagonal[i], q + diagonal[i]
+            pieces = hi // many - lo // many + 1
+            k = np.repeat(np.arange(len(p)), pieces)
+            block = (lo // many)[k] + np.arange(len(k)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+            i, j = i[k], j[k]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(v) for v in (of[i], of[j], length + diagonal[j] - diagonal[i], np.maximum(lo[k], block * many), np.minimum(hi[k], block * many + many - 1), doc[i], -diagonal[i] - base[i])],
+                names=["a", "b", "delta", "lo", "hi", "doc_id", "shift"],
+            )
+
+    return run
 
-def _double(length: int, frequent: np.ndarray):
-    """Of survivors of one length (doc_id, first, packed) sorted by doc_id: windows
-    of twice the length, (key, doc_id, at, packed, often), where all windows
-    inside survived; key is the smallest hash among those. Rows of a frequent key are dealt to SALTS keys by document."""
+
+def _smallest(many: int):
+    """Of (key, a, b, delta, lo, hi, doc_id, shift, most) sorted by key, no two with equal a to hi:
+    the parts of each lo to hi that two documents have, and their names, NAMED rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t, _ in key_runs(batches):
-            t = t.take(np.lexsort((t.column(1).to_numpy(), t.column(0).to_numpy())))
-            doc, at = t.column(0).to_numpy(), t.column(1).to_numpy()
-            x, y, n = _unpacked(t.column(2))
-            which = np.repeat(np.arange(len(doc)), n)
-            d, pos = doc[which], at[which] + np.arange(len(x)) - np.repeat(np.cumsum(n) - n, n)
-            if ((d[1:] < d[:-1]) | (d[1:] == d[:-1]) & (pos[1:] < pos[:-1])).any():
-                order = np.lexsort((pos, d))
-                d, pos, x, y = d[order], pos[order], x[order], y[order]
-            new = np.append(True, (d[1:] != d[:-1]) | (pos[1:] != pos[:-1])) if len(d) else np.zeros(0, bool)
-            d, pos, x, y = d[new], pos[new], x[new], y[new]
-            if len(d) <= length:
-                continue
-            i = np.flatnonzero((d[:-length] == d[length:]) & (pos[length:] - pos[:-length] == length))
-            if not len(i):
+            a, b, delta, lo, hi, doc, shift, most = (t.column(i).to_numpy() for i in range(1, 9))
+            order = np.lexsort((lo // many, delta, b, a))
+            a, b, delta, lo, hi, doc, shift, most = (v[order] for v in (a, b, delta, lo, hi, doc, shift, most))
+            block = lo // many
+            group = np.cumsum(np.append(False, (a[1:] != a[:-1]) | (b[1:] != b[:-1]) | (delta[1:] != delta[:-1]) | (block[1:] != block[:-1])))
+            order = np.lexsort((shift, doc))
+            new = np.append(True, (doc[order][1:] != doc[order][:-1]) | (shift[order][1:] != shift[order][:-1]))
+            rank = np.empty(len(doc), np.int64)
+            rank[order] = np.cumsum(new) - 1
+            name = order[new]  # a row with each rank
+            n = hi - lo + 1
+            which = np.repeat(np.arange(len(lo)), n)
+            at = lo[which] + np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n)
+            cell = group[which] * many + at - block[which] * many
+            least, largest = np.full((int(group[-1]) + 1) * many, len(doc)), np.full((int(group[-1]) + 1) * many, np.iinfo(np.int64).min)
+            np.minimum.at(least, cell, rank[which])
+            np.maximum.at(largest, cell, most[which])
+            by = name[least[cell]]
+            keep = largest[cell] > doc[by]
+            which, at, by = which[keep], at[keep], by[keep]
+            if not len(which):
                 continue
-            key = _least(x, length + 1)[i]
-            x2, y2 = (mix(v[i] * np.uint64(2654435761) + mix(v[i + length], 1, lane), length, lane) for lane, v in ((0, x), (1, y)))
-            d, pos = d[i], pos[i]
-            first = np.flatnonzero(np.append(True, (key[1:] != key[:-1]) | (d[1:] != d[:-1]) | (pos[1:] != pos[:-1] + 1)))
-            often = np.isin(key[first], frequent) if len(frequent) else np.zeros(len(first), bool)
-            yield pa.RecordBatch.from_arrays([pa.array(_dealt(key[first], d[first], often).view(np.int64)), pa.array(d[first]), pa.array(pos[first].astype(np.int32)), _packed(x2, y2, first), pa.array(often)], names=["key", "doc_id", "at", "packed", "often"])
+            first = np.flatnonzero(np.append(True, (which[1:] != which[:-1]) | (at[1:] != at[:-1] + 1) | (by[1:] != by[:-1])))
+            last = np.append(first[1:], len(which)) - 1
+            r, by = which[first], by[first]
+            yield pa.RecordBatch.from_arrays([pa.array(v) for v in (a[r], b[r], delta[r], lo[r], hi[r], at[first], at[last], doc[by], at[first] + shift[by])], names=["n_a", "n_b", "n_delta", "n_lo", "n_hi", "low", "high", "of", "at"])
 
     return run
 
 
 NONE = np.zeros(0, np.uint64)
 KEYS, STRETCHES = "key long, doc_id long, often boolean", "key long, doc_id long, at int, packed binary, often boolean"
+PIECES = "a long, b long, delta long, lo long, hi long, doc_id long, shift long"
+NAMED = "n_a long, n_b long, n_delta long, n_lo long, n_hi long, low long, high long, of long, at long"
 
 
-def _frequent(keys: DataFrame, least: float) -> np.ndarray:
-    """Keys that so many documents of a sample have: at most its windows."""
-    seen = keys.select("key", "doc_id").distinct().groupBy("key").count().where(F.col("count") >= least)
+def _frequent(keys: DataFrame) -> np.ndarray:
+    """Keys that FREQUENT documents of a sample have: at most its windows."""
+    seen = keys.select("key", "doc_id").distinct().groupBy("key").count().where(F.col("count") >= FREQUENT)
     return np.array(sorted(r.key for r in seen.select("key").collect()), np.int64).view(np.uint64)
 
 
-def _survivors(stretches: DataFrame, dealt: bool, pack: bool) -> tuple[DataFrame, list[DataFrame]]:
-    """OUT rows, none of them open, of windows that two documents have, and the
-    stored tables that they are read from; dealt: whether keys are dealt to several runs."""
-    found = stored(by_key(stretches, "key", "doc_id").mapInArrow(_repeats(pack), OUT), "level", "zstd")
+def _survivors(stretches: DataFrame, dealt: bool) -> DataFrame:
+    """SPANS rows of windows that two documents have; dealt: whether keys are dealt to several runs."""
+    found = stored(by_key(stretches, "key", "doc_id").mapInArrow(_repeats, OUT), "level", "zstd")
+    spans = [f.split()[0] for f in SPANS.split(", ")]
+    closed = found.where(f"kind = {CLOSED}").select(*spans)
     release(found.sparkSession)
     if not dealt:
-        return found, [found]
-    # of a window under a frequent key every run has sent its smallest document
-    smallest = found.where("open").select("doc_id", "first", "packed").mapInArrow(_unpack, "x long, y long, doc_id long, at int")
-    least = smallest.groupBy(F.col("x").alias("l_x"), F.col("y").alias("l_y")).agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most")
-    late = smallest.join(least, F.expr("x = l_x and y = l_y")).select("x", "y", "doc_id", "at", F.expr("doc_id > least").alias("late"))
-    closed = stored((late if pack else late.where("late")).mapInArrow(_pack, OUT), "frequent", "zstd")
+        return closed
+    # of a window under a frequent key every run has sent the place that names it there: at most SALTS
+    gives = found.where(f"kind >= {ALONE}").select("doc_id", "first", "packed", F.expr(f"kind = {SHARED}").alias("many")).mapInArrow(_unpack, "x long, y long, doc_id long, at int, many boolean")
+    gives = gives.groupBy("x", "y").agg(F.collect_set(F.struct("doc_id", "at")).alias("runs"), F.max("many").alias("many")).where("many or array_max(runs).doc_id > array_min(runs).doc_id")
+    names = gives.select(F.explode("runs").alias("run"), F.array_min("runs").alias("name")).select(F.col("run.doc_id").alias("run_of"), F.expr(f"run.at div {NEAR}").alias("near"), F.struct(F.col("run.at").alias("run_at"), F.col("name.doc_id").alias("of"), F.col("name.at").alias("at")).alias("name"))
+    names = stored(names.groupBy("run_of", "near").agg(F.collect_list("name").alias("names")), "names", "zstd")
+    local = found.where(f"kind <> {CLOSED}").select(*spans, F.explode(F.expr(f"sequence(at div {NEAR}, (at + last - first) div {NEAR})")).alias("place"))
+    local = local.join(small(names, names.count()), F.expr("of = run_of and place = near")).select("doc_id", "first", "last", "at", "names")
+    renamed = stored(local.mapInArrow(_renamed, SPANS), "frequent", "zstd")
+    drop_stored(names)
     release(found.sparkSession)
-    return found.where("not open").unionByName(closed), [found, closed]
+    return closed.union(renamed)
+
+
+def _doubled(found: DataFrame, length: int) -> DataFrame:
+    """SPANS rows of windows of twice the length, of survivors of one length."""
+    pieces = stored(by_key(found, "doc_id").mapInArrow(_double(length, MANY), PIECES), "pieces", "zstd")
+    key = ["a", "b", "delta", "lo", "hi"]
+    distinct = pieces.groupBy(*key).agg(F.min(F.struct("doc_id", "shift")).alias("least"), F.max("doc_id").alias("most"))
+    distinct = distinct.select(F.xxhash64("a", "b", "delta", F.expr(f"lo div {MANY}")).alias("key"), *key, "least.doc_id", "least.shift", "most")
+    named = by_key(distinct, "key").mapInArrow(_smallest(MANY), NAMED)
+    out = pieces.join(named, F.expr(" and ".join(f"{k} = n_{k}" for k in key)))
+    out = stored(out.select("doc_id", F.expr("cast(low + shift as int) first"), F.expr("cast(high + shift as int) last"), "of", F.expr("cast(at as int) at")), "level", "zstd")
+    drop_stored(pieces)
+    return out
 
 
 def repeated_windows(docs: DataFrame, window: int = WINDOW, doc_id: str = "doc_id", text: str = "text", longest: int = 0) -> DataFrame:
@@ -336,37 +417,23 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, doc_id: str = "doc_i
     n = d.count()
     if not n:
         return spark.createDataFrame([], schema)
-    share = min(1.0, SAMPLE_DOCS / n)
-    sampled = F.pmod(F.xxhash64("doc_id", F.lit(8)), F.lit(1 << 30)) < int(share * (1 << 30))
-    frequent = _frequent(d.where(sampled).mapInArrow(_level_one(window, NONE), KEYS), FREQUENT)
-    again = stored(by_key(d.mapInArrow(_level_one(window, frequent), KEYS), "key").mapInArrow(_repeated, KEYS), "repeated")
-    release(spark)
+    sampled = F.pmod(F.xxhash64("doc_id", F.lit(8)), F.lit(1 << 30)) < int(min(1.0, SAMPLE_DOCS / n) * (1 << 30))
+    frequent = _frequent(d.where(sampled).mapInArrow(_level_one(window, NONE), KEYS))
+    again = by_key(d.mapInArrow(_level_one(window, frequent), KEYS), "key").mapInArrow(_repeated, KEYS)
     lists = stored(again.groupBy(F.col("doc_id").alias("k_id")).agg(F.collect_list(F.expr("if(often, null, key)")).alias("keys")), "lists")
-    drop_stored(again)
     release(spark)
     n_lists = lists.count()
     some = d.join(F.broadcast(lists.select(F.col("k_id").alias("s_id"))), F.expr("doc_id = s_id"), "left_semi") if n_lists <= BROADCAST_IDS else d
     two = some.join(lists, F.expr("doc_id = k_id")).select("doc_id", "text", "keys")
-    deeper = lambda length: not longest or 2 * length <= longest
-    found, tables = _survivors(two.mapInArrow(_extend(window, frequent), STRETCHES), len(frequent) > 0, deeper(window))
+    found, out, length = _survivors(two.mapInArrow(_extend(window, frequent), STRETCHES), len(frequent) > 0), None, window
     drop_stored(lists)
-    out, length = None, window
     while True:
-        part = found.where("last is not null").select("doc_id", F.lit(length).alias("length"), "first", "last")
-        if deeper(length):  # the hashes go when the next level is there, the ranges stay
-            part = stored(part, "ranges")
+        part = found.where("doc_id > of").select("doc_id", F.lit(length).alias("length"), "first", "last")
         out = part if out is None else out.union(part)
-        if not deeper(length) or not found.head(1):
+        if longest and 2 * length > longest or not found.head(1):
             return out
-        spans = found.select("doc_id", "first", "packed")
-        wide = lambda rows, often, n=length: by_key(rows, "doc_id").mapInArrow(_double(n, often), STRETCHES)
-        if len(frequent):  # a key that is not frequent is not so at a longer level
-            frequent = _frequent(wide(spans.where(sampled), NONE), max(FREQUENT, share * MANY))
+        found = _doubled(found, length)
         length *= 2
-        old = tables
-        found, tables = _survivors(wide(spans, frequent), len(frequent) > 0, deeper(length))
-        for table in old:
-            drop_stored(table)
 
 
 def _cut(window: int):
@@ -399,7 +466,8 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, doc_id: str = "doc_i
     words; texts shorter than the window lose nothing; a row with a null id
     loses nothing and counts for no other. Equal rows give equal results. An id
     names one document: rows that share an id but not the text lose what is
-    found at the positions of any. Texts and words may be of any length; other columns are not read."""
+    found at the positions of any, and levels beyond the window, of them and of
+    texts like them, may join places of several. Texts and words may be of any length; other columns are not read."""
     found = repeated_windows(docs, window, doc_id, text, longest)
     most = found.groupBy(F.col("doc_id").alias("m_id")).agg(F.max("length").alias("longest"))
     found = found.where(F.col("length") == window)  # longer ones are inside
